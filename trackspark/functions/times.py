@@ -31,13 +31,16 @@ def match_event_second(text: Column, offset: Column) -> Column:
     )
 
 
-def possession_second(text: Column) -> Column:
-    """``HH:MM:SS`` or ``MM:SS`` with point or comma; ``0`` is zero."""
-    clean = F.replace(F.trim(text), F.lit(","), F.lit("."))
-    parts = F.split(clean, ":")
+def time_parts(text: Column) -> Column:
+    """Pieces between colons, with a decimal point whatever was written."""
+    return F.split(F.replace(F.trim(text), F.lit(","), F.lit(".")), ":")
+
+
+def parts_second(parts: Column) -> Column:
+    """``HH:MM:SS`` or ``MM:SS`` pieces in seconds; a lone ``0`` is zero."""
     return (
-        F.when(clean == "0", F.lit(0.0))
-        .when(F.size(parts) == 3, _clock(parts))
+        F.when(F.size(parts) == 3, _clock(parts))
+        .when((F.size(parts) == 1) & (F.get(parts, F.lit(0)) == "0"), F.lit(0.0))
         .when(F.size(parts) == 2,
               _whole(F.get(parts, F.lit(0))) * 60 + _real(F.get(parts, F.lit(1))))
     )
@@ -49,4 +52,11 @@ def row_times(fields: Column) -> Column:
     candidates = F.when(numbered, F.slice(fields, F.lit(3), F.greatest(F.size(fields), F.lit(3)))
                         ).otherwise(fields)
     timed = F.filter(candidates, lambda v: v.contains(":") | (v == "0"))
-    return F.filter(F.transform(timed, possession_second), lambda t: t.isNotNull())
+    # split in a step of its own, so that it runs once per value
+    seconds = F.transform(F.transform(timed, time_parts), parts_second)
+    return F.filter(seconds, lambda t: t.isNotNull())
+
+
+def possession_second(text: Column) -> Column:
+    """Seconds of one possession time text with point or comma."""
+    return parts_second(time_parts(text))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.config import MATCH, MatchConfig
-from trackspark.functions.numbers import finite
 from trackspark.functions.zones import is_ball
 from trackspark.operators.sizes import small_side
 
@@ -83,8 +82,8 @@ def position_columns(positions: DataFrame, keep: tuple[str, ...] = ("match_id",)
         *keep,
         F.col("sid").cast("int").alias("sid"),
         F.col("ts").cast("bigint").alias("ts"),
-        finite(F.col("x")).alias("x"),
-        finite(F.col("y")).alias("y"),
+        F.col("x").cast("double").alias("x"),
+        F.col("y").cast("double").alias("y"),
         F.col("z").cast("double").alias("z"),
         F.col("half").cast("int").alias("half"),
         F.col("matchSecond").cast("double").alias("matchSecond"),

@@ -35,62 +35,65 @@ def event_kind(text: Column) -> Column:
 
 
 def parse_rows(rows: DataFrame) -> DataFrame:
-    """Event text, kind and times of every non-empty row."""
+    """Event text, kind and times of every row.
+
+    The parse is dear and feeds several branches; write it first (``session.materialise``).
+    """
     first = F.get("fields", F.lit(0))
     text = F.when(first.rlike(r"^\d+$"), F.get("fields", F.lit(1))).otherwise(
         F.concat_ws(" ", "fields"))
-    return rows.where(F.size("fields") > 0).select(
+    parsed = rows.select(
         *FILE, "line_no", F.size("fields").alias("n_fields"), text.alias("event_text"),
-        event_kind(text).alias("kind"), row_times(F.col("fields")).alias("times"),
-    ).withColumn("raw_time", F.get("times", F.lit(0)))
-
-
-def scan_rows(parsed: DataFrame) -> DataFrame:
-    """Rows with a time, each with the time and the begin/end row before it.
-
-    Later steps read this table several times, so write it first (``session.materialise``).
-    """
-    rows = parsed.where(F.col("raw_time").isNotNull())
-    counts = F.col("n_fields") >= 3
-    mark = F.when(counts & F.col("kind").isNotNull(), F.struct("kind", "raw_time", "line_no"))
-    bucket = F.floor(F.col("line_no") / LINES_PER_BUCKET)
-    return prefix_scan(rows, FILE, "line_no", bucket, [
-        Prefix("prev_raw", F.when(counts, F.col("raw_time")), "last"),
-        Prefix("prev_mark", mark, "last")])
+        row_times(F.col("fields")).alias("times"))
+    return parsed.withColumns({
+        "kind": event_kind(F.col("event_text")), "raw_time": F.get("times", F.lit(0))})
 
 
-def half_offsets(scanned: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
+def half_offsets(parsed: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     """Offset of second-half files per match: 0 when their times are already absolute."""
     earliest = F.min(F.when(F.col("half") == 2, F.array_min("times")))
     limit = cfg.metadata_half_offset_s - cfg.metadata_absolute_slack_s
-    found = scanned.groupBy("match_id").agg(earliest.alias("earliest"))
+    found = parsed.groupBy("match_id").agg(earliest.alias("earliest"))
     return found.withColumn(
         "half_offset",
         F.when(F.col("earliest") >= limit, F.lit(0.0)).otherwise(F.lit(cfg.metadata_half_offset_s)))
 
 
-def timed_rows(scanned: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
+def scan_rows(parsed: DataFrame) -> DataFrame:
+    """Rows with an event and a time, each with the time and the begin/end row before it."""
+    rows = parsed.where((F.col("n_fields") >= 3) & F.col("raw_time").isNotNull())
+    mark = F.when(F.col("kind").isNotNull(), F.struct("kind", "raw_time", "line_no"))
+    bucket = F.floor(F.col("line_no") / LINES_PER_BUCKET)
+    return prefix_scan(rows, FILE, "line_no", bucket, [
+        Prefix("prev_raw", F.col("raw_time"), "last"), Prefix("prev_mark", mark, "last")])
+
+
+def timed_rows(parsed: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     """Rows that carry an event and a time, with the offset that puts them on the match clock.
 
     In a file with offset 0 the clock may start again for the second half: from the first row
-    whose time goes back on, the half offset is added.
+    whose time goes back on, the half offset is added. What holds for a whole file (player,
+    offset, line of the restart) is found once per file and joined to its rows.
     """
-    rows = scanned.where(F.col("n_fields") >= 3)
+    rows = scan_rows(parsed)
     went_back = F.col("raw_time") < F.coalesce("prev_raw", F.lit(-1.0))
-    restarts = rows.where(went_back).groupBy(*FILE).agg(F.min("line_no").alias("restart_line"))
-    rows = rows.join(half_offsets(scanned, cfg).select("match_id", "half_offset"), "match_id")
-    rows = rows.join(restarts, FILE, "left")
-    base = F.when(F.col("half") == 2, F.col("half_offset")).otherwise(F.lit(0.0))
+    files = rows.groupBy(*FILE).agg(
+        F.min(F.when(went_back, F.col("line_no"))).alias("restart_line"))
+    files = files.join(half_offsets(parsed, cfg).select("match_id", "half_offset"), "match_id")
+    files = files.withColumns({
+        "player": resolve_player(F.col("file_player")),
+        "base": F.when(F.col("half") == 2, F.col("half_offset")).otherwise(F.lit(0.0))})
+    rows = rows.join(files, FILE)
 
     def offset(line: Column) -> Column:
-        after = (base == 0.0) & (line >= F.col("restart_line"))
-        return F.when(after, F.lit(cfg.metadata_half_offset_s)).otherwise(base)
+        after = (F.col("base") == 0.0) & (line >= F.col("restart_line"))
+        return F.when(after, F.lit(cfg.metadata_half_offset_s)).otherwise(F.col("base"))
 
     before = F.when(F.col("prev_mark").isNotNull(), F.struct(
         F.col("prev_mark.kind").alias("kind"),
         (F.col("prev_mark.raw_time") + offset(F.col("prev_mark.line_no"))).alias("second")))
     return rows.select(
-        *FILE, "line_no", "event_text", "kind", "times", "raw_time",
+        *FILE, "player", "line_no", "event_text", "kind", "times", "raw_time",
         offset(F.col("line_no")).alias("offset_s"), before.alias("prev"))
 
 
@@ -107,7 +110,7 @@ def candidate_intervals(timed: DataFrame) -> DataFrame:
         F.get("times", F.lit(0)) + F.col("offset_s"))
     end = F.when(closed, F.col("second")).otherwise(F.get("times", F.lit(1)) + F.col("offset_s"))
     return rows.where(closed | listed).select(
-        "match_id", resolve_player(F.col("file_player")).alias("player"), "half", "line_no",
+        "match_id", "player", "half", "line_no",
         start.alias("start_s"), end.alias("end_s"))
 
 
@@ -122,12 +125,11 @@ def quality_report(timed: DataFrame) -> DataFrame:
     counts = intervals.groupBy("match_id", "player", "half").agg(
         F.count_if(F.col("ok")).alias("n_intervals"),
         F.count_if(~F.col("ok")).alias("n_invalid"))
-    marks = timed.where(F.col("kind").isNotNull()).groupBy(*FILE).agg(
+    marks = timed.where(F.col("kind").isNotNull()).groupBy("match_id", "player", "half").agg(
         F.max_by(F.struct("kind", (F.col("raw_time") + F.col("offset_s")).alias("second")),
                  F.col("line_no")).alias("m"))
     open_begin = marks.where(F.col("m.kind") == "begin").select(
-        "match_id", resolve_player(F.col("file_player")).alias("player"), "half",
-        F.col("m.second").alias("open_begin_s"))
+        "match_id", "player", "half", F.col("m.second").alias("open_begin_s"))
     return counts.join(open_begin, ["match_id", "player", "half"], "full").select(
         "match_id", "player", "half",
         F.coalesce("n_intervals", F.lit(0)).alias("n_intervals"),

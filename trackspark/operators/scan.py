@@ -34,7 +34,8 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str, bucket: Column,
                 prefixes: list[Prefix]) -> DataFrame:
     """Add each running value over the rows before (or up to) a row.
 
-    ``order`` must be unique inside a key and ``bucket`` must not decrease along it.
+    Keys must not be null, ``order`` must be unique inside a key and ``bucket`` must not decrease
+    along it.
     """
     cols = df.columns
     work = df.withColumns({"_b": bucket, **{f"_v_{p.name}": p.value for p in prefixes}})
@@ -49,7 +50,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str, bucket: Column,
         *[summary(p).alias(f"_s_{p.name}") for p in prefixes])
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"),
+        *keys, "_b",
         *[_LOCAL[p.how](F.col(f"_s_{p.name}")).over(earlier).alias(f"_c_{p.name}")
           for p in prefixes])
 
@@ -59,10 +60,6 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str, bucket: Column,
         return _LOCAL[p.how](F.col(f"_v_{p.name}")).over(w)
 
     scanned = work.withColumns({f"_l_{p.name}": local(p) for p in prefixes})
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_b") == F.col("_k_b")]
-    condition = on[0]
-    for part in on[1:]:
-        condition = condition & part
 
     def combined(p: Prefix) -> Column:
         here, before = F.col(f"_l_{p.name}"), F.col(f"_c_{p.name}")
@@ -74,5 +71,6 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str, bucket: Column,
             out = F.coalesce(here, F.lit(0.0)) + F.coalesce(before, F.lit(0.0))
         return out.alias(p.name)
 
-    return scanned.join(carried, condition, "left").select(
+    # same keys as the windows, so the rows are not shuffled again
+    return scanned.join(carried, [*keys, "_b"], "left").select(
         *cols, *[combined(p) for p in prefixes])

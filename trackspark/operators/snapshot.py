@@ -12,17 +12,24 @@ from trackspark.operators.ticks import next_tick
 STATE = ("ts", "x", "y", "z", "half", "matchSecond", "speed_kmh")
 
 
-def newest(tie: tuple[str, ...] = ()) -> Column:
-    """Aggregate: the newest sample as a struct. Equal times go to the larger tie columns,
-    then to the larger values, so the result does not depend on row order."""
-    rest = [c for c in STATE if c != "ts"]
-    return F.max(F.struct("ts", *tie, *rest))
+def newest(positions: DataFrame, keys: list[str], tie: tuple[str, ...] = ()) -> DataFrame:
+    """Newest sample per key, combined on the map side; an older row never wins.
+
+    Without tie columns all buffers are plain numbers, so Spark keeps a hash aggregate; rows with
+    one time are then interchangeable. Tie columns make equal times exact at the price of a sort
+    in each map task.
+    """
+    grouped = positions.groupBy(*keys)
+    if not tie:
+        values = [F.max_by(c, "ts").alias(c) for c in STATE if c != "ts"]
+        return grouped.agg(F.max("ts").alias("ts"), *values)
+    best = F.max_by(F.struct(*STATE), F.struct("ts", *tie))
+    return grouped.agg(best.alias("p")).select(*keys, "p.*")
 
 
 def latest_positions(positions: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
-    """Newest sample of every sensor. Combined on the map side; an older row never wins."""
-    return positions.groupBy("match_id", "sid").agg(newest(tie).alias("p")).select(
-        "match_id", "sid", *[f"p.{c}" for c in STATE])
+    """Newest sample of every sensor."""
+    return newest(positions, ["match_id", "sid"], tie)
 
 
 def tick_samples(positions: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
@@ -32,8 +39,8 @@ def tick_samples(positions: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     per (match, sensor, second) and task. All later steps see at most
     sensors x match seconds rows per match.
     """
-    tick = F.floor("matchSecond").cast("int").alias("tick")
-    return positions.groupBy("match_id", "sid", tick).agg(newest(tie).alias("p"))
+    ticked = positions.withColumn("tick", F.floor("matchSecond").cast("int"))
+    return newest(ticked, ["match_id", "sid", "tick"], tie)
 
 
 def _carry_forward(per_tick: DataFrame, last: Column) -> DataFrame:
@@ -43,7 +50,7 @@ def _carry_forward(per_tick: DataFrame, last: Column) -> DataFrame:
     spans = per_tick.withColumn("until", until).where(F.col("until") >= F.col("tick"))
     return spans.select(
         "match_id", "sid", F.explode(F.sequence("tick", "until")).alias("tick"),
-        *[F.col(f"p.{c}").alias(c) for c in STATE])
+        *STATE)
 
 
 def snapshot(positions: DataFrame, tie: tuple[str, ...] = (), cfg: MatchConfig = MATCH,
@@ -70,7 +77,7 @@ def snapshot_at(positions: DataFrame, ticks: DataFrame, tie: tuple[str, ...] = (
     numbered = ticks.select("match_id", "t").distinct().withColumn(
         "tick", F.row_number().over(w))
     mapped = next_tick(positions, numbered, F.col("matchSecond"))
-    per_tick = mapped.groupBy("match_id", "sid", "tick").agg(newest(tie).alias("p"))
+    per_tick = newest(mapped, ["match_id", "sid", "tick"], tie)
     last = numbered.groupBy("match_id").agg(F.max("tick").alias("last_tick"))
     carried = _carry_forward(per_tick.join(last, "match_id"), F.col("last_tick"))
     return carried.join(numbered, ["match_id", "tick"])

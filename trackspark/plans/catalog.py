@@ -75,7 +75,7 @@ def _player_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = metadata.parse_rows(fx.possession_rows(spark, sf_dir))
-    return metadata.timed_rows(materialise(metadata.scan_rows(parsed), "possession-rows"))
+    return metadata.timed_rows(materialise(parsed, "possession-rows"))
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,7 +400,11 @@ def heatmap_cell_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def heatmap_grid_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return heatmap.dense_grid(heatmap.smooth(_cells(spark, sf_dir)))
+    """Dense grids, taken apart again into one row per cell."""
+    grids = heatmap.dense_grid(heatmap.smooth(_cells(spark, sf_dir)))
+    rows = grids.select("match_id", "sid", F.posexplode("grid").alias("grid_row", "line"))
+    return rows.select("match_id", "sid", "grid_row", F.posexplode("line").alias(
+        "grid_col", "value")).withColumn("value", F.round("value", 6))
 
 
 # ---- possession metadata -----------------------------------------------------------------

@@ -508,6 +508,10 @@ BODIES: dict[str, str] = {
     "heatmap_cells": _CELLS,
     "heatmap_smooth": """select 1 as match_id, sid, grid_row, grid_col, round(value,6) as value
   from smooth_cells""",
+    "heatmap_grid_array": """select 1 as match_id, s.sid, cast(r.i as int) as grid_row,
+  cast(c.i as int) as grid_col, coalesce(round(g.value,6),0) as value
+  from (select distinct sid from cells) s cross join range(0,50) r(i) cross join range(0,80) c(i)
+  left join smooth_cells g on g.sid = s.sid and g.grid_row = r.i and g.grid_col = c.i""",
     "heatmap_by_selection": """select 1 as match_id, selection, grid_row, grid_col,
   round(value,6) as value from selection_grid""",
     "heatmap_zmax": """select 1 as match_id, selection, round(greatest(1, value),6) as zmax from (

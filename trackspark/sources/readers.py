@@ -118,7 +118,8 @@ def read_possession_files(spark: SparkSession, path: str, match_id: int = 1) ->
     stem = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
     rows = lines.select(
         F.lit(match_id).alias("match_id"), stem.alias("file_player"), "half", "line_no",
-        clean_fields(split_quoted(F.col("line"))).alias("fields"))
+        clean_fields(split_quoted(F.col("line"))).alias("fields"),
+    ).where(F.size("fields") > 0)
     has_halves = rows.where(F.col("half") > 0).limit(1).count() > 0
     return rows.where(F.col("half") > 0) if has_halves else rows
 

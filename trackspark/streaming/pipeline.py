@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from trackspark.config import MATCH, MatchConfig
 from trackspark.operators.heatmap import heatmap_cells
 from trackspark.operators.running import running_stats, zone_samples
-from trackspark.operators.snapshot import STATE, newest
+from trackspark.operators.snapshot import latest_positions
 from trackspark.operators.tactics import momentum_state_step
 from trackspark.sources.sinks import batch_log
 
@@ -36,8 +36,7 @@ def start_log(stream: DataFrame, path: str, checkpoint: str, mode: str = "update
 
 def latest_stream(valid: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     """Newest sample per sensor; late rows never replace newer ones."""
-    return valid.groupBy("match_id", "sid").agg(newest(tie).alias("p")).select(
-        "match_id", "sid", *[f"p.{c}" for c in STATE])
+    return latest_positions(valid, tie)
 
 
 def running_stats_stream(valid: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
