@@ -6,6 +6,8 @@ the kernel: the fan-out falls on at most rows x columns cells per sensor, never
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,23 +49,30 @@ def heatmap_cells(positions: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     ).agg(F.count("*").alias("n"))
 
 
+def kernel(cfg: MatchConfig = MATCH) -> list[tuple[int, int, float]]:
+    """(row offset, column offset, weight) of the Gaussian, at most (2 radius + 1)^2 entries."""
+    r, spread = cfg.kernel_radius, 2.0 * cfg.kernel_sigma * cfg.kernel_sigma
+    points = [(i, j, math.exp(-(i * i + j * j) / spread))
+              for i in range(-r, r + 1) for j in range(-r, r + 1)]
+    return [p for p in points if p[2] >= cfg.kernel_min_weight]
+
+
 def smooth(cells: DataFrame, by: tuple[str, ...] = ("match_id", "sid"),
            cfg: MatchConfig = MATCH) -> DataFrame:
-    """Spread cell counts with the Gaussian kernel; weight beyond the border is lost."""
+    """Spread cell counts with the Gaussian kernel; weight beyond the border is lost.
+
+    The kernel is a literal array in the plan, so spreading is a generator and not a join.
+    """
     check_grid(cfg)
-    r = cfg.kernel_radius
-    offsets = F.sequence(F.lit(-r), F.lit(r))
-    spread = cells.select(*by, "grid_row", "grid_col", "n", F.explode(offsets).alias("dr"))
-    spread = spread.select("*", F.explode(offsets).alias("dc"))
-    square = F.col("dr") * F.col("dr") + F.col("dc") * F.col("dc")
-    weight = F.exp(-square / F.lit(2.0 * cfg.kernel_sigma * cfg.kernel_sigma))
+    points = F.array(*[F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc"), F.lit(w).alias("w"))
+                       for i, j, w in kernel(cfg)])
+    spread = cells.select(*by, "grid_row", "grid_col", "n", F.inline(points))
     placed = spread.select(
         *by, (F.col("grid_row") + F.col("dr")).alias("grid_row"),
         (F.col("grid_col") + F.col("dc")).alias("grid_col"),
-        (F.col("n") * weight).alias("part"), weight.alias("weight"),
+        (F.col("n") * F.col("w")).alias("part"),
     ).where(
-        (F.col("weight") >= cfg.kernel_min_weight)
-        & F.col("grid_row").between(0, cfg.heat_rows - 1)
+        F.col("grid_row").between(0, cfg.heat_rows - 1)
         & F.col("grid_col").between(0, cfg.heat_cols - 1))
     return placed.groupBy(*by, "grid_row", "grid_col").agg(F.sum("part").alias("value"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,11 @@ def build_session(app_name: str = "trackspark", master: str | None = None,
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="trackspark-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
@@ -38,8 +44,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="trackspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
