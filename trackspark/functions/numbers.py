@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 
 def finite(value: Column) -> Column:
     """The value as double; null where it is missing, not a number or infinite."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
+    return F.when(is_finite(value), value.try_cast("double"))
+
+
+def is_finite(value: Column) -> Column:
+    """True for usable numbers. NaN sorts above infinity, so one comparison covers both."""
+    return F.abs(value.try_cast("double")) < F.lit(float("inf"))
 
 
 def clamp(value: Column, low: float, high: float) -> Column:
-    """Hold a value inside [low, high]; null stays null (``greatest`` alone would skip it)."""
-    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+    """Hold a value inside [low, high]. Null gives ``high``, as ``least`` skips it."""
+    return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
 def normalise(value: Column, low: float, high: float, top: float) -> Column:

@@ -22,12 +22,11 @@ def _clock(parts: Column) -> Column:
     return _whole(hours) * 3600 + _whole(minutes) * 60 + _real(seconds)
 
 
-def match_event_second(text: Column, offset: Column) -> Column:
-    """``HH:MM:SS.s`` plus the offset; ``0`` is the offset itself."""
-    parts = F.split(text, ":")
+def match_event_second(parts: Column, offset: Column) -> Column:
+    """``HH:MM:SS.s`` pieces plus the offset; a lone ``0`` is the offset itself."""
     return (
-        F.when(text == "0", offset)
-        .when(F.size(parts) == 3, _clock(parts) + offset)
+        F.when(F.size(parts) == 3, _clock(parts) + offset)
+        .when((F.size(parts) == 1) & (F.get(parts, F.lit(0)) == "0"), offset)
     )
 
 

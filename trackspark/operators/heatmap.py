@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.config import MATCH, MatchConfig
-from trackspark.functions.numbers import finite, normalise
+from trackspark.functions.numbers import is_finite, normalise
 from trackspark.functions.pitch import cell_centre, pitch_x, pitch_y
 
 
@@ -39,9 +39,9 @@ def cell_index(value: Column, low: float, high: float, cells: int,
 def heatmap_cells(positions: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     """Sample counts per sensor and cell. Unusable coordinates are left out."""
     check_grid(cfg)
-    usable = positions.select(
-        "match_id", "sid", finite(F.col("x")).alias("x"), finite(F.col("y")).alias("y"),
-    ).where(F.col("sid").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
+    usable = positions.where(
+        F.col("sid").isNotNull() & is_finite(F.col("x")) & is_finite(F.col("y"))
+    ).select("match_id", "sid", F.col("x").cast("double"), F.col("y").cast("double"))
     return usable.groupBy(
         "match_id", "sid",
         cell_index(F.col("y"), cfg.y_min, cfg.y_max, cfg.heat_rows, cfg).alias("grid_row"),

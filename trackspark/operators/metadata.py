@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 from trackspark.config import MATCH, MatchConfig
 from trackspark.functions.names import resolve_player
+from trackspark.functions.once import computed_once
 from trackspark.functions.times import row_times
 from trackspark.operators.scan import Prefix, prefix_scan
 
 FILE = ["match_id", "file_player", "half"]
+_WHITE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"  # white space of latin-1 text
 LINES_PER_BUCKET = 1 << 18
 SECONDS_PER_BUCKET = 60.0
 
 
 def clean_fields(values: Column) -> Column:
-    trimmed = F.transform(values, lambda v: F.regexp_replace(v, r"(?U)^\s+|\s+$", ""))
+    """Fields without outer white space; missing and blank ones left out."""
+    trimmed = F.transform(values, lambda v: F.btrim(v, F.lit(_WHITE)))
     return F.filter(trimmed, lambda v: v.isNotNull() & (v != ""))
 
 
@@ -37,14 +40,14 @@ def event_kind(text: Column) -> Column:
 def parse_rows(rows: DataFrame) -> DataFrame:
     """Event text, kind and times of every row.
 
-    The parse is dear and feeds several branches; write it first (``session.materialise``).
+    The result feeds several branches; write it first (``session.materialise``).
     """
     first = F.get("fields", F.lit(0))
     text = F.when(first.rlike(r"^\d+$"), F.get("fields", F.lit(1))).otherwise(
         F.concat_ws(" ", "fields"))
-    parsed = rows.select(
-        *FILE, "line_no", F.size("fields").alias("n_fields"), text.alias("event_text"),
-        row_times(F.col("fields")).alias("times"))
+    parsed = computed_once(
+        rows, [*FILE, "line_no"], n_fields=F.size("fields"), event_text=text,
+        times=row_times(F.col("fields")))
     return parsed.withColumns({
         "kind": event_kind(F.col("event_text")), "raw_time": F.get("times", F.lit(0))})
 

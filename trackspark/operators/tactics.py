@@ -200,7 +200,8 @@ def team_shape(state: DataFrame) -> DataFrame:
 def momentum_raw(state: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     """Heuristic share of both teams in percent, one digit."""
     team = possession_team(cfg)
-    share = normalise(F.col("ball.x"), cfg.x_min, cfg.x_max, 1.0)
+    share = F.when(F.col("ball.x").isNotNull(),
+                   normalise(F.col("ball.x"), cfg.x_min, cfg.x_max, 1.0))
 
     def score(s: str, name: str, ball_share: Column) -> Column:
         held = F.when(team == name, F.lit(cfg.momentum_possession)).otherwise(F.lit(0.0))

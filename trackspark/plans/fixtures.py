@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trackspark.config import BALL_SIDS, MATCH, PLAYERS
 from trackspark.dims import inline_table, sensor_rows
+from trackspark.functions.once import computed_once
 from trackspark.operators.clean import clean_samples, position_columns, valid_positions
 from trackspark.operators.metadata import clean_fields
 
@@ -96,9 +97,12 @@ def _half_millis() -> F.Column:
 
 
 def _time_text(ms: F.Column, mark: str) -> F.Column:
-    return F.format_string(
-        f"%02d:%02d:%02d{mark}%03d", F.floor(ms / 3_600_000), F.floor(ms / 60_000) % 60,
-        F.floor(ms / 1000) % 60, ms % 1000)
+    def digits(value: F.Column, n: int) -> F.Column:
+        return F.lpad(value.cast("int").cast("string"), n, "0")
+
+    return F.concat(
+        digits(F.floor(ms / 3_600_000), 2), F.lit(":"), digits(F.floor(ms / 60_000) % 60, 2),
+        F.lit(":"), digits(F.floor(ms / 1000) % 60, 2), F.lit(mark), digits(ms % 1000, 3))
 
 
 def possession_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,12 +119,15 @@ def possession_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean(spark, sf_dir).select(
         "match_id", (F.col("user_id") % 16).cast("int").alias("player_ord"), "half",
         F.col("event_id").alias("line_no"), text.alias("event_text"), _half_millis().alias("m"))
+    rows = computed_once(rows, ["match_id", "half", "player_ord", "line_no"],
+                         event_text=F.col("event_text"), m=F.col("m"))
     later = F.col("m") + F.col("line_no") % 20 * 1000
     fields = F.array(
         F.col("line_no").cast("string"), F.col("event_text"), _time_text(F.col("m"), ","),
         F.when(F.col("event_text") == "Interval", _time_text(later, ",")))
-    return rows.join(files, "player_ord").select(
-        "match_id", "file_player", "half", "line_no", clean_fields(fields).alias("fields"))
+    return computed_once(
+        rows.join(files, "player_ord"), ["match_id", "file_player", "half", "line_no"],
+        fields=clean_fields(fields))
 
 
 def match_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +136,7 @@ def match_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.when(F.col("user_id") % 2 == 0, "Shot on Goal").otherwise("Game Interruption")
     time = F.when(F.col("event_id") % 50 == 0, "n/a").otherwise(_time_text(_half_millis(), "."))
     subject = F.concat(F.lit("Player "), (F.col("user_id") % 16).cast("string"))
-    return rows.select(
-        "match_id", folder.alias("folder"), "half", F.col("event_id").alias("line_no"),
-        F.concat_ws(";", F.col("event_id").cast("string"), subject, time).alias("line"))
+    rows = rows.withColumn("line_no", F.col("event_id"))
+    return computed_once(
+        rows, ["match_id", "half", "line_no"], folder=folder,
+        line=F.concat_ws(";", F.col("event_id").cast("string"), subject, time))
