@@ -5,10 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from trackspark.config import POSITION_SCHEMA
-from trackspark.operators import heatmap, running, snapshot, tactics
+from trackspark.config import CLEAN_SCHEMA, POSITION_SCHEMA
+from trackspark.operators import clean, heatmap, running, snapshot, tactics
 from trackspark.sources import readers, sinks
-from trackspark.streaming import pipeline
+from trackspark.streaming import live, pipeline
 
 SCHEMA = "match_id int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}"
                                       for f in POSITION_SCHEMA.fields)
@@ -121,7 +121,7 @@ def momentum_rows(spark, low, high, seed):
     for m in (1, 2):
         for tick in range(low, high):
             a = round(rng.uniform(0, 100), 1)
-            data.append((m, tick, tick + 0.5 - (tick % 3 == 0) * 0.0, a, round(100 - a, 1)))
+            data.append((m, tick, tick + 0.5, a, round(100 - a, 1)))
     return spark.createDataFrame(
         data, "match_id int, tick int, current_second double, momentum_a double, momentum_b double")
 
@@ -197,6 +197,50 @@ def test_state_documents(spark, tmp_path, batches):
     assert rows(back, *cols) == rows(stats, *cols)
 
 
+def test_live_view_equals_batch(spark, tmp_path):
+    parts = [batch(spark, i, i * 60, i * 60 + 60) for i in range(2)]
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = readers.read_position_stream(spark, source, schema=SCHEMA)
+        for q in live.start_live(stream, out, check, trigger=None):
+            q.awaitTermination()
+    whole = parts[0].unionByName(parts[1])
+    docs, stats = live.live_documents(spark, out)
+    got = docs.select("match_id", "batchId", "currentMatchSecond", F.inline("positions"))
+    cols = ("match_id", "sid", "ts", "x", "matchSecond")
+    assert rows(got, *cols) == rows(snapshot.latest_positions(whole), *cols)
+    assert {r.batchId for r in got.collect()} == {1}
+    cells = heatmap.heatmap_cells(clean.without_balls(whole))
+    want = heatmap.smooth(cells).agg(F.sum("value")).first()[0]
+    heat = docs.select(F.explode("heatmap_by_sid").alias("sid", "grid")).select(
+        F.aggregate(F.flatten("grid"), F.lit(0.0), lambda a, v: a + v).alias("s"))
+    assert heat.agg(F.sum("s")).first()[0] == pytest.approx(want)
+    flat = stats.select("match_id", F.explode("stats").alias("sid", "z")).select(
+        "match_id", F.col("sid").cast("int").alias("sid"), F.explode("z").alias("intensity", "v")
+    ).select("match_id", "sid", "intensity", "v.*")
+    cols = ("match_id", "sid", "intensity", "distance_1m", "time_1m")
+    assert rows(flat, *cols) == rows(running.latest_stats(running.running_stats(whole)), *cols)
+
+
+def test_stream_reads_the_chunk_folders(spark, tmp_path):
+    part = batch(spark, 5, 0, 4).drop("match_id")
+    path = str(tmp_path / "chunks")
+    full = part.select(*[
+        (F.col(f.name) if f.name in part.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in CLEAN_SCHEMA.fields])
+    sinks.write_chunks(clean.with_chunk_id(full), path)
+    stream = readers.read_position_stream(spark, path).withColumn("match_id", F.lit(1))
+    feed = pipeline.start_log(pipeline.latest_stream(stream), str(tmp_path / "log"),
+                              str(tmp_path / "check"))
+    feed.awaitTermination()
+    assert len(feed.recentProgress) > 1  # one chunk file per batch
+    got = sinks.read_batch_log(spark, str(tmp_path / "log"), ["match_id", "sid"])
+    cols = ("sid", "ts", "matchSecond")
+    want = snapshot.latest_positions(part.withColumn("match_id", F.lit(1)))
+    assert rows(got, *cols) == rows(want, *cols)
+
+
 def test_empty_source_folder_starts(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = readers.read_position_stream(spark, str(tmp_path / "in"))

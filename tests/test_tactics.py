@@ -198,6 +198,9 @@ def test_player_stats_sum_or_average_feet(spark):
     teams = {r.team: r.distance for r in running.team_rolling_stats(
         running.player_rolling_stats(ents, stats)).collect()}
     assert teams == {"Team A": 8.0, "Team B": 0.0}
+    shown = running.rounded_player_stats(running.player_rolling_stats(
+        ents, stats.withColumn("distance_1m", F.col("distance_1m") + 0.125))).first()
+    assert (shown.distance, shown.sprint_distance) == (8.25, 3.12)  # half to even
     with pytest.raises(ValueError):
         running.player_rolling_stats(ents, stats, sensor_agg="max")
 

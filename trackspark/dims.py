@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackspark.config import (
     BALL_SIDS,
-    BALL_SIDS_BY_HALF,
     MATCH,
     OFFICIALS,
     PLAYERS,
-    TEAMS,
     MatchConfig,
 )
 
@@ -58,15 +56,6 @@ def player_dim(spark: SparkSession) -> DataFrame:
                                       "roster_order": "int"})
 
 
-def ball_dim(spark: SparkSession) -> DataFrame:
-    rows = [(h, s) for h, sids in BALL_SIDS_BY_HALF.items() for s in sids]
-    return inline_table(spark, rows, {"half": "int", "sid": "int"})
-
-
-def team_dim(spark: SparkSession) -> DataFrame:
-    return inline_table(spark, [(t,) for t in TEAMS], {"team": "string"})
-
-
 def selection_dim(spark: SparkSession) -> DataFrame:
     """Heatmap focus -> sensor ids: everybody in a team, each team, each player."""
     rows = []
