@@ -245,13 +245,14 @@ def test_possession_files(spark, tmp_path):
         (base / half / "Ben Müller.csv").write_bytes(lines.encode("latin-1"))
     (base / "2nd Half" / "Leon Krapf.csv").write_bytes(
         '7;"Ballbesitz; ""lang"" Hold é";0;00:00:04\n'.encode("latin-1"))
+    (base / "2nd Half" / "A+B 100%.csv").write_text("1;Begin;00:00:01\n2;End;00:00:02\n")
     (base / "stray.csv").write_text("1;Begin;00:00:01\n2;End;00:00:02\n")
     found = read_possession_files(spark, str(base))
     quoted = found.where("file_player = 'Leon Krapf'").first().fields
     assert quoted == ["7", 'Ballbesitz; "lang" Hold é', "0", "00:00:04"]
     timed = metadata.timed_rows(metadata.parse_rows(found))
     got = sorted((r.player, r.start_s, r.end_s) for r in metadata.possession_intervals(timed).collect())
-    assert got == [("Ben Mueller", 1.5, 3.0), ("Ben Mueller", 1810.0, 1812.0),
+    assert got == [("A+B 100%", 1801.0, 1802.0), ("Ben Mueller", 1.5, 3.0), ("Ben Mueller", 1810.0, 1812.0),
                    ("Leon Krapf", 1800.0, 1804.0)]
 
 

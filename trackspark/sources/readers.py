@@ -82,8 +82,10 @@ def read_latin1_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> Da
         .option("encoding", "ISO-8859-1").option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob).csv(path)
     )
+    # the path is percent-encoded, so a plus sign in it stands for itself
+    path_text = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     located = raw.select(
-        F.url_decode(F.col("_metadata.file_path")).alias("path"),
+        F.url_decode(path_text).alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), "line")
     w = Window.partitionBy("path", "block").orderBy("id")
