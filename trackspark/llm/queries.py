@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackspark.llm import decontaminate, mixing, sharding, simhash
+from trackspark.llm import (
+    decontaminate,
+    language,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    topk,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,23 +27,48 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language(_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_topk": op2_topk,
     "op3_sharding": op3_sharding,
+    "op4_secrets": op4_secrets,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op8_toxicity": op8_toxicity,
+    "op9_language": op9_language,
     "op10_mixing": op10_mixing,
 }
 
@@ -42,6 +77,21 @@ _LOW = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
         "'abcdefghijklmnopqrstuvwxyz')")
 
 ORACLE: dict[str, str] = {
+    "op2_topk": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(
+    list_zip(q.x, c.x), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, cast(rank as int) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+      from scored)
+where rank <= 5
+""",
     "op6_decontamination": f"""
 with item_words as (
   select cast(item_id as varchar) as item, regexp_extract_all({_LOW}, '{_WORD}') as ws
