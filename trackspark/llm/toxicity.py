@@ -15,9 +15,9 @@ from trackspark.llm.common import crc_part, map_rows, materialise
 
 #: Bound of the labelled sample that the lexicon is learned from, per class, and of the lexicon.
 SAMPLE, TERMS = 20_000, 200
-#: A term occurs in such a share of the toxic documents at least, so much rather there (log
-#: odds), and so many standard deviations more often than in the others.
-LEAST_SHARE, LEAST_ODDS, LEAST_SIGMA = 0.01, 2.5, 3.0
+#: A term occurs in so many different toxic texts and such a share of them at least, so much
+#: rather there (log odds), and so many standard deviations more often than in the others.
+LEAST, LEAST_SHARE, LEAST_ODDS, LEAST_SIGMA = 5, 0.03, 2.5, 3.0
 #: What a misspelling counts, and log odds below which a near word is a word of its own.
 MISSPELLED, OWN_WORD = 0.9, 1.0
 #: Words around a hit that are its context, and of a window whose hits are counted.
@@ -184,9 +184,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                   text: str = "text") -> tuple[list[str], list[str]]:
     """Terms that mark toxic documents, and words near them that do not; TERMS of each at most.
 
-    Only documents that are not held out count, by distinct word: a sample of about SAMPLE
-    labelled ids of each class, those with the smallest hashes; that list is small enough to
-    broadcast.
+    Only documents that are not held out count, copies once, by distinct word: a sample of about
+    SAMPLE labelled ids of each class, those with the smallest hashes; that list is small enough
+    to broadcast.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
                          & (crc_part("doc_id", 5) != 0))
@@ -198,18 +198,21 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     part = F.pmod(F.xxhash64("_id"), F.lit(1 << 32)) / float(1 << 32)
     sample = known.where(part < share).distinct()
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text).join(
-        F.broadcast(sample), "_id")
-    total = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+        F.broadcast(sample), "_id").select(
+        "toxic", F.lower(F.coalesce(F.col(text), F.lit(""))).alias("low"))
+    rows = materialise(rows.groupBy(F.xxhash64("low").alias("copy")).agg(
+        F.max("toxic").alias("toxic"), F.first("low").alias("low")), "labelled")
+    total = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = total.get(1, 0), total.get(0, 0)
     words = F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]{4,}"), F.lit(0)))
+        F.col("low"), F.lit(r"[\p{L}\p{N}]{4,}"), F.lit(0)))
     counts = materialise(
         rows.select("toxic", F.explode_outer(words).alias("word")).groupBy("word").agg(
             F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n"))
         .where(F.col("word").isNotNull()), "word-counts")
     odds = _odds(toxic, clean)
     usual = (F.col("n") + 0.5) * (toxic / (clean + 1))
-    best = counts.where((F.col("t") >= LEAST_SHARE * toxic) & (odds >= LEAST_ODDS)
+    best = counts.where((F.col("t") >= max(LEAST, LEAST_SHARE * toxic)) & (odds >= LEAST_ODDS)
                         & (F.col("t") - usual > LEAST_SIGMA * F.sqrt(usual + 1)))
     best = best.orderBy((odds * F.col("t")).desc(), "word").limit(TERMS)
     terms = sorted(r["word"] for r in best.select("word").collect())
