@@ -17,7 +17,10 @@ from trackspark.llm.common import crc_part, map_rows, materialise
 SAMPLE, TERMS = 20_000, 200
 #: A term occurs in so many different toxic texts and such a share of them at least, so much
 #: rather there (log odds), and so many standard deviations more often than in the others.
-LEAST, LEAST_SHARE, LEAST_ODDS, LEAST_SIGMA = 5, 0.03, 2.5, 3.0
+LEAST, LEAST_SHARE, LEAST_ODDS, LEAST_SIGMA = 5, 0.03, 2.0, 4.0
+#: Letters of a stem, written with a star behind; a word that has this share of a stem's toxic
+#: texts stands for it.
+STEMS, STANDS_FOR = (5, 6, 7, 8), 0.8
 #: What a misspelling counts, and log odds below which a near word is a word of its own.
 MISSPELLED, OWN_WORD = 0.9, 1.0
 #: Words around a hit that are its context, and of a window whose hits are counted.
@@ -27,7 +30,9 @@ THRESHOLD = 0.5
 REPORTS = frozenset("said says called calls wrote writes quote quoted quotes word term phrase "
                     "insult slur dit écrit mot citation sagte schrieb wort zitat dijo palabra "
                     "cita".split())
-FEATURES = ("abuse", "quoted", "density", "window", "any")
+FEATURES = ("abuse", "strongest", "quoted", "density", "window", "any")
+#: Weights of hits are divided by this, and their sum counts up to so much.
+STRONG, MOST = 6.0, 4.0
 _WORD = re.compile(r"[^\W_]+")
 _QUOTES = '"“”„«»‘’\''
 
@@ -45,11 +50,15 @@ class FuzzyLexicon:
     the empty state after a few.
     """
 
-    def __init__(self, terms: Iterable[str]):
+    def __init__(self, terms: Iterable[str], own_words: Iterable[str] = ()):
+        terms = set(terms)
+        self.stems = {t[:-1] for t in terms if t.endswith("*")}
+        terms = {t for t in terms if not t.endswith("*")}
+        self.own_words = set(own_words) - terms
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, str] = {}
         self.slack = [0]  # the most edits that any term below a node allows
-        for term in sorted(set(terms)):
+        for term in sorted(terms):
             node = 0
             self.slack[0] = max(self.slack[0], edits(term))
             for c in term:
@@ -99,7 +108,15 @@ class FuzzyLexicon:
         return self._state(found)
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term (edits, then name) and its edits, if one is near enough."""
+        """The nearest term (edits, then name) and its edits, if one is near enough.
+
+        A word that begins with a stem matches the longest one; own words match nothing.
+        """
+        if word in self.own_words:
+            return None
+        for k in reversed(STEMS):
+            if len(word) > k and word[:k] in self.stems:
+                return word[:k] + "*", 0
         state, alphabet, moves, dead = self.start, self.alphabet, self.moves, self.dead
         for c in word:
             if c not in alphabet:
@@ -141,31 +158,34 @@ def hits(text: str, lexicon: FuzzyLexicon, known: dict[str, tuple[str, int] | No
     return found, len(words)
 
 
-def features_of(found: list[tuple[int, int, str, int, bool]], places: int) -> list[float]:
-    exact = sum(h[3] == 0 and not h[4] for h in found)
-    wrong = sum(h[3] > 0 and not h[4] for h in found)
-    quoted = sum(h[4] for h in found)
-    near, first = 0, 0
+def features_of(found: list[tuple[int, int, str, int, bool]], places: int,
+                weights: dict[str, float]) -> list[float]:
+    each = [weights[h[2]] / STRONG * (MISSPELLED if h[3] else 1.0) for h in found]
+    open_ = [w for w, h in zip(each, found, strict=True) if not h[4]]
+    quoted = sum(w for w, h in zip(each, found, strict=True) if h[4])
+    near, first, inside = 0.0, 0, 0.0
     for i, h in enumerate(found):
+        inside += each[i]
         while h[0] - found[first][0] > WINDOW * 6:
+            inside -= each[first]
             first += 1
-        near = max(near, i - first + 1)
-    abuse = exact + MISSPELLED * wrong
-    return [min(abuse, 5) / 5, min(quoted, 5) / 5, min(1.0, 20 * abuse / (places + 1)),
-            min(near, 5) / 5, float(abuse > 0)]
+        near = max(near, inside)
+    abuse = sum(open_)
+    return [min(abuse, MOST) / MOST, max(open_, default=0.0), min(quoted, MOST) / MOST,
+            min(1.0, 20 * abuse / (places + 1)), min(near, MOST) / MOST, float(abuse > 0)]
 
 
-def scan(docs: DataFrame, terms: list[str], own_words: list[str], doc_id: str = "doc_id",
+def scan(docs: DataFrame, terms: dict[str, float], own_words: list[str], doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
     """(doc_id, f, spans) for each row: its FEATURES and its hits as start:end:term:edits:quoted."""
     def run(batch: pa.RecordBatch) -> dict:
-        lexicon, known = FuzzyLexicon(terms), dict.fromkeys(own_words)
+        lexicon, known = FuzzyLexicon(terms, own_words), {}
         rows, spans = [], []
         for value in batch.column(1).to_pylist():
             if len(known) > 1 << 19:
-                known = dict.fromkeys(own_words)
+                known.clear()
             found, places = hits(value or "", lexicon, known)
-            rows.append(features_of(found, places))
+            rows.append(features_of(found, places, terms))
             spans.append([":".join(map(str, (*h[:4], int(h[4])))) for h in found])
         return {"doc_id": batch.column(0), "f": pa.array(rows, pa.list_(pa.float64())),
                 "spans": pa.array(spans, pa.list_(pa.string()))}
@@ -180,11 +200,27 @@ def _odds(toxic: int, clean: int):
             - F.log((F.col("n") + 0.5) / float(clean + 1)))
 
 
+def _stems_of(words: str, k: int):
+    longer = F.filter(words, lambda w: F.length(w) > k)
+    return F.transform(longer, lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
+
+
+def _pruned(found: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """Stems that a word stands for go; so do words that begin with a stem that stays."""
+    words = {w for w in found if not w.endswith("*")}
+    stems = {w[:-1] for w in found if w.endswith("*")}
+    stems = {s for s in stems if not any(
+        w.startswith(s) and found[w][0] >= STANDS_FOR * found[s + "*"][0] for w in words)}
+    words = {w for w in words if not any(w[:k] in stems for k in STEMS if len(w) > k)}
+    return {w: float(found[w][1]) for w in sorted(words | {s + "*" for s in stems})}
+
+
 def learn_lexicon(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
-                  text: str = "text") -> tuple[list[str], list[str]]:
-    """Terms that mark toxic documents, and words near them that do not; TERMS of each at most.
+                  text: str = "text") -> tuple[dict[str, float], list[str]]:
+    """Terms that mark toxic documents with their log odds, and words near them that do not.
 
-    Only documents that are not held out count, copies once, by distinct word: a sample of about
+    Terms are words, or stems of some letters with any end; TERMS of each kind at most. Only
+    documents that are not held out count, copies once, by distinct word and stem: a sample of about
     SAMPLE labelled ids of each class, those with the smallest hashes; that list is small enough
     to broadcast.
     """
@@ -193,7 +229,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     known = known.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
-        return [], []
+        return {}, []
     share = F.when(F.col("toxic") == 1, SAMPLE / sizes[1]).otherwise(SAMPLE / sizes[0])
     part = F.pmod(F.xxhash64("_id"), F.lit(1 << 32)) / float(1 << 32)
     sample = known.where(part < share).distinct()
@@ -206,16 +242,19 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     toxic, clean = total.get(1, 0), total.get(0, 0)
     words = F.array_distinct(F.regexp_extract_all(
         F.col("low"), F.lit(r"[\p{L}\p{N}]{4,}"), F.lit(0)))
+    stems = [_stems_of("words", k) for k in STEMS]
     counts = materialise(
-        rows.select("toxic", F.explode_outer(words).alias("word")).groupBy("word").agg(
-            F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n"))
-        .where(F.col("word").isNotNull()), "word-counts")
+        rows.select("toxic", words.alias("words"))
+        .select("toxic", F.explode(F.array_distinct(F.concat("words", *stems))).alias("word"))
+        .groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")),
+        "word-counts")
     odds = _odds(toxic, clean)
     usual = (F.col("n") + 0.5) * (toxic / (clean + 1))
     best = counts.where((F.col("t") >= max(LEAST, LEAST_SHARE * toxic)) & (odds >= LEAST_ODDS)
                         & (F.col("t") - usual > LEAST_SIGMA * F.sqrt(usual + 1)))
-    best = best.orderBy((odds * F.col("t")).desc(), "word").limit(TERMS)
-    terms = sorted(r["word"] for r in best.select("word").collect())
+    best = best.select("word", "t", odds.alias("odds")).orderBy(
+        (F.col("odds") * F.col("t")).desc(), "word").limit(2 * TERMS)
+    terms = _pruned({r["word"]: (r["t"], r["odds"]) for r in best.collect()})
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = FuzzyLexicon(terms)
@@ -223,8 +262,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
             found = [lexicon.match(w) for w in batch.column(0).to_pylist()]
             yield batch.filter(pa.array([f is not None and f[1] > 0 for f in found]))
 
-    others = counts.where(odds < OWN_WORD).select("word", "n").mapInArrow(
-        near, "word string, n long") if terms else counts.where(F.lit(False))
+    others = counts.where((odds < OWN_WORD) & ~F.col("word").endswith("*")).select("word", "n")
+    others = others.mapInArrow(near, "word string, n long")
     others = others.orderBy(F.desc("n"), "word").limit(TERMS)
     return terms, sorted(r["word"] for r in others.select("word").collect())
 
