@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
@@ -30,6 +31,31 @@ def letters(text: str) -> bytes:
     return _OTHER.sub(" ", text.lower()).strip().encode()
 
 
+class Model:
+    """Compressors primed with the dictionaries."""
+
+    def __init__(self, dictionaries: dict[str, bytes]):
+        self._models = []
+        for name, content in dictionaries.items():
+            raw = zstandard.ZstdCompressionDict(
+                content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            raw.precompute_compress(level=LEVEL)
+            self._models.append((name, zstandard.ZstdCompressor(
+                level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)))
+
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """(language, score, rejected)"""
+        data = letters(text or "")
+        if not data or not self._models:
+            return UNKNOWN, 0.0, True
+        chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
+        sizes = sorted((sum(len(m.compress(c)) for c in chunks), n) for n, m in self._models)
+        if len(sizes) < 2:
+            return sizes[0][1], 1.0, False
+        margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        return sizes[0][1], margin / (margin + HALF), margin < NARROW
+
+
 def learn(docs: DataFrame, learn_from, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang") -> dict[str, bytes]:
     """A dictionary per language: passages of the documents with the smallest id hashes.
@@ -61,36 +87,29 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc
     there is no margin and nothing else is rejected.
     """
     def run(batch: pa.RecordBatch) -> dict:
-        models = []
-        for name, content in dictionaries.items():
-            raw = zstandard.ZstdCompressionDict(
-                content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            raw.precompute_compress(level=LEVEL)
-            models.append((name, zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)))
-        names, scores, rejected = [], [], []
-        for value in batch.column(1).to_pylist():
-            data = letters(value or "")
-            if not data or not models:
-                name, score, reject = UNKNOWN, 0.0, True
-            else:
-                chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
-                sizes = sorted((sum(len(m.compress(c)) for c in chunks), n) for n, m in models)
-                name, score, reject = sizes[0][1], 1.0, False
-                if len(sizes) > 1:
-                    margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
-                    score, reject = margin / (margin + HALF), margin < NARROW
-            names.append(name)
-            scores.append(score)
-            rejected.append(reject)
-        return {"doc_id": batch.column(0), "lang_pred": names, "score": scores,
-                "rejected": rejected}
+        model = Model(dictionaries)
+        found = [model.predict(value) for value in batch.column(1).to_pylist()]
+        return {"doc_id": batch.column(0), "lang_pred": [f[0] for f in found],
+                "score": [f[1] for f in found], "rejected": [f[2] for f in found]}
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text"))
     return map_rows(rows, "doc_id long, lang_pred string, score double, rejected boolean", run)
 
 
+def accepted(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that identify() does not reject, as they are."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(dictionaries)
+        for batch in batches:
+            yield batch.filter(pa.array(
+                [not model.predict(v.as_py())[2] for v in batch.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              lang: str = "lang") -> DataFrame:
     """identify() with what three quarters of the ids teach, and ``held_out`` for the rest."""

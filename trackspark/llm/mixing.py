@@ -81,22 +81,14 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return open_.select("source", "pass", below.alias("below"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5,
-        doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for each row of ``docs``.
-
-    size is the number of words; null and empty texts have none and are never taken. A target
-    is met in up to two nested passes: the first takes rows whose hash lies below one bound,
-    the second the part of them below a lower bound. The hash is of id and text, so reruns
-    agree, and rows that are equal in both go in or out together. The targets cannot be met
-    closer than the size of a single row. An empty table gives no rows.
-    """
+def _sized(doc_id: str, text: str, source: str) -> list:
     words = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD))
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-        words.cast("long").alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text)), 4).alias("h"))
-    rows = materialise(rows, "sized")
+    return [F.col(source).cast("string").alias("source"), words.cast("long").alias("size"),
+            F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text)), 4).alias("h")]
+
+
+def _goals(rows: DataFrame, weights: Sequence[float], share: float) -> DataFrame:
+    """(source, source_size, target, below1, below2) from the sized rows: one row per source."""
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = materialise(targets(sums, weights, share), "targets")
     first = F.least(F.col("target"), F.col("source_size").cast("double"))
@@ -106,12 +98,44 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: floa
     bounds = _thresholds(rows, budgets).groupBy("source").agg(
         F.max(F.when(F.col("pass") == 1, F.col("below"))).alias("below1"),
         F.max(F.when(F.col("pass") == 2, F.col("below"))).alias("below2"))
-    goal = goal.alias("g").join(
+    return goal.alias("g").join(
         bounds.alias("b"), F.col("g.source").eqNullSafe(F.col("b.source")), "left").select(
         "g.*", "below1", "below2")
-    copies = (F.col("h") < F.coalesce("below1", F.lit(0))).cast("long") + (
-        F.col("h") < F.coalesce("below2", F.lit(0))).cast("long")
+
+
+def _copies():
+    return (F.col("h") < F.coalesce("below1", F.lit(0))).cast("int") + (
+        F.col("h") < F.coalesce("below2", F.lit(0))).cast("int")
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5,
+        doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(doc_id, size, source_size, target, taken) for each row of ``docs``.
+
+    size is the number of words; null and empty texts have none and are never taken. A target
+    is met in up to two nested passes: the first takes rows whose hash lies below one bound,
+    the second the part of them below a lower bound. The hash is of id and text, so reruns
+    agree, and rows that are equal in both go in or out together. The targets cannot be met
+    closer than the size of a single row. An empty table gives no rows.
+    """
+    rows = materialise(docs.select(F.col(doc_id).alias("doc_id"),
+                                   *_sized(doc_id, text, source)), "sized")
+    goal = _goals(rows, weights, share)
     return rows.alias("r").join(
         goal.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source"))).select(
         F.col("r.doc_id"), F.col("r.size"), "source_size", "target",
-        (F.col("r.size") * copies).alias("taken"))
+        (F.col("r.size") * _copies()).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5,
+               doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs``, as they are, each as often as mix() takes it.
+
+    A filter by source and hash: the texts are neither sorted nor shuffled.
+    """
+    sized = _sized(doc_id, text, source)
+    goal = _goals(materialise(docs.select(*sized), "sized"), weights, share)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), *sized).alias("r")
+    rows = rows.join(goal.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source")))
+    rows = rows.where((F.col("r.size") > 0) & (_copies() > 0))
+    return rows.select("doc", F.explode(F.sequence(F.lit(1), _copies()))).select("doc.*")

@@ -14,6 +14,7 @@ from trackspark.llm import (
     secrets,
     sharding,
     simhash,
+    suffixes,
     topk,
     toxicity,
 )
@@ -48,6 +49,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_suffixes": op7_suffixes,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
