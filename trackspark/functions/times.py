@@ -10,7 +10,8 @@ _REAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _whole(text: Column) -> Column:
-    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+    # as a double, so that no multiple of it can overflow
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint").cast("double"))
 
 
 def _real(text: Column) -> Column:

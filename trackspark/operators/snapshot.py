@@ -43,29 +43,34 @@ def tick_samples(positions: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     return newest(ticked, ["match_id", "sid", "tick"], tie)
 
 
-def _carry_forward(per_tick: DataFrame, last: Column) -> DataFrame:
+def _carry_forward(per_tick: DataFrame, last: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Repeat each sensor's sample until its next one; a generator, not a join."""
     w = Window.partitionBy("match_id", "sid").orderBy("tick")
     until = F.coalesce(F.lead("tick").over(w) - 1, last)
     spans = per_tick.withColumn("until", until).where(F.col("until") >= F.col("tick"))
     return spans.select(
         "match_id", "sid", F.explode(F.sequence("tick", "until")).alias("tick"),
-        *STATE)
+        *STATE, *keep)
 
 
 def snapshot(positions: DataFrame, tie: tuple[str, ...] = (), cfg: MatchConfig = MATCH,
              every: int | None = None) -> DataFrame:
     """State of all sensors at whole match seconds, old positions carried forward.
 
-    With ``every`` only multiples of it and the last second are kept. The result is laid out
-    by (match_id, tick), which serves entity fusion and all per-tick operators after it.
+    A match ends with the regular clock or with its newest sample, whichever is later, so extra
+    time is not cut. With ``every`` only multiples of it and the last second are kept. The result
+    is laid out by (match_id, tick), which serves entity fusion and all per-tick operators after
+    it.
     """
-    carried = _carry_forward(tick_samples(positions, tie), F.lit(cfg.last_tick))
+    per_tick = tick_samples(positions, tie)
+    # both windows are served by one layout; a match has sensors x seconds rows at most here
+    newest_tick = F.max("tick").over(Window.partitionBy("match_id"))
+    per_tick = per_tick.withColumn("last", F.greatest(newest_tick, F.lit(cfg.last_tick)))
+    carried = _carry_forward(per_tick, F.col("last"), ("last",))
     if every is not None:
-        carried = carried.where(
-            ((F.col("tick") % every == 0) & (F.col("tick") > 0))
-            | (F.col("tick") == cfg.last_tick))
-    return carried.repartition("match_id", "tick")
+        carried = carried.where(((F.col("tick") % every == 0) & (F.col("tick") > 0))
+                                | (F.col("tick") == F.col("last")))
+    return carried.drop("last").repartition("match_id", "tick")
 
 
 def snapshot_at(positions: DataFrame, ticks: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:

@@ -10,11 +10,16 @@ from trackspark.operators.sizes import small_side
 
 
 def minute_ticks(matches: DataFrame, every: int = 60, cfg: MatchConfig = MATCH) -> DataFrame:
-    """(match_id, t): multiples of ``every`` and the last second, for each match."""
-    last = cfg.last_tick
+    """(match_id, t): multiples of ``every`` and the last second, for each match.
+
+    ``matches`` may name the last second of each match in ``last_tick``.
+    """
+    last = F.col("last_tick") if "last_tick" in matches.columns else F.lit(cfg.last_tick)
+    ends = matches.groupBy("match_id").agg(F.max(last).cast("int").alias("last"))
+    regular = F.when(F.col("last") >= every, F.sequence(F.lit(every), "last", F.lit(every)))
     points = F.array_distinct(F.concat(
-        F.sequence(F.lit(every), F.lit(last), F.lit(every)), F.array(F.lit(last))))
-    return matches.select("match_id").distinct().select(
+        F.coalesce(regular, F.array().cast("array<int>")), F.array("last")))
+    return ends.select(
         "match_id", F.explode(points.cast("array<double>")).alias("t"))
 
 

@@ -17,8 +17,6 @@ def build_session(app_name: str = "trackspark", master: str | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # one-second chunks give thousands of folders; list many of them per task
-        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "256")
     )
     if master is not None:
         builder = builder.master(master)

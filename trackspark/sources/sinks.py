@@ -29,6 +29,27 @@ def write_chunks(chunked: DataFrame, path: str) -> None:
         "chunkId").parquet(path)
 
 
+def order_chunks(spark: SparkSession, path: str) -> int:
+    """Give the files of a chunk folder times in chunk order; returns the number of files.
+
+    Parallel tasks finish chunks in any order, and a file stream takes files by their time, so
+    without this a watermark drops chunks that come too late. Times are one second apart and lie
+    in the past. Only names and times pass through the driver. The store must keep file times
+    that are set (local and HDFS do).
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = []
+    for folder in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "chunkId=*")):
+        chunk = int(folder.getPath().getName().split("=")[1])
+        files += [(chunk, f.getPath().getName(), f.getPath())
+                  for f in fs.listStatus(folder.getPath())]
+    newest = spark._jvm.System.currentTimeMillis()
+    for place, (_, _, file) in enumerate(sorted(files, key=lambda f: f[:2])):
+        fs.setTimes(file, newest - 1000 * (len(files) - place), -1)
+    return len(files)
+
+
 def positions_documents(latest: DataFrame, grids: DataFrame | None = None,
                         batch_id: int = 0, cfg: MatchConfig = MATCH) -> DataFrame:
     """One state document per match; a document holds one entry per sensor."""
