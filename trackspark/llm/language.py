@@ -68,6 +68,13 @@ def learn(docs: DataFrame, learn_from, doc_id: str = "doc_id", text: str = "text
     rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang).alias("lang"), h.alias("h"), F.substring(
         F.col(text), start.cast("int"), F.lit(PASSAGE_CHARS)).alias("passage"))
+    # only hashes that can be among the smallest are ranked, four times as many as are needed
+    sizes = rows.groupBy("lang").count().collect()
+    if not sizes:
+        return {}
+    share = F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in (
+        r["lang"], min(1.0, 4 * PASSAGES / r["count"]))]), F.col("lang"))
+    rows = rows.where((F.col("h") + float(1 << 63)) / float(1 << 64) <= share)
     place = F.row_number().over(W.partitionBy("lang").orderBy("h", "passage"))
     rows = rows.withColumn("place", place).where(F.col("place") <= PASSAGES)
     found: dict[str, list[tuple[int, str]]] = {}
