@@ -256,6 +256,17 @@ def test_possession_files(spark, tmp_path):
                    ("Leon Krapf", 1800.0, 1804.0)]
 
 
+def test_possession_files_of_two_matches(spark, tmp_path):
+    text = "1;Begin;00:00:01\n2;End;00:00:03\n"
+    for folder in ("match_id=7/2nd Half", "match_id=8", "match_id=8/1st Half old"):
+        (tmp_path / "1st Half export" / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "1st Half export" / folder / "Ben Müller.csv").write_text(text)
+    (tmp_path / "1st Half export" / "match_id=7" / "Leon Krapf.csv").write_text(text)
+    found = read_possession_files(spark, str(tmp_path))
+    got = sorted((r.match_id, r.file_player, r.half) for r in found.collect())
+    assert got == [(7, "Ben Müller", 2)] * 2 + [(8, "Ben Müller", 0)] * 4
+
+
 def test_flat_possession_folder_keeps_line_order(spark, tmp_path):
     lines = [f"{i};{'Begin' if i % 2 == 0 else 'End'};{i // 60:02d}:{i % 60:02d}" for i in range(2000)]
     (tmp_path / "Leon Krapf.csv").write_text("\n".join(lines))

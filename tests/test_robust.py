@@ -34,6 +34,15 @@ def test_extra_time_is_carried_to_the_newest_sample(spark):
     assert sorted(t for t, _ in ticks[2, 13]) == list(range(99, 3598))
 
 
+def test_wanted_ticks_equal_the_cut_of_all(spark):
+    positions = fixtures.positions(spark, SF_DIR)
+    every = snapshot.snapshot(positions, fixtures.TIE).where(
+        "tick % 60 = 0 and tick > 0 or tick = 3597")
+    some = snapshot.snapshot(positions, fixtures.TIE, every=60)
+    columns = ["match_id", "sid", "tick", "ts", "x"]
+    assert sorted(some.select(*columns).collect()) == sorted(every.select(*columns).collect())
+
+
 def test_minute_ticks_of_matches_of_different_length(spark):
     matches = spark.createDataFrame([(1, 130), (2, 50)], "match_id int, last_tick int")
     got = sorted((r.match_id, r.t) for r in minute_ticks(matches).collect())

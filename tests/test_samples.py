@@ -98,10 +98,27 @@ def test_clean_csv_round_trip(spark, tmp_path):
     out = clean.clean_samples(raw(spark, [(1, 13, S1 + 7, 1, None, 3)]))
     sinks.write_clean_csv(out, str(tmp_path / "c"))
     back = readers.read_clean_csv(spark, str(tmp_path / "c"))
+    assert back.columns == [*CLEAN_SCHEMA.names, "match_id"]
+    assert back.collect() == out.select(*CLEAN_SCHEMA.names, "match_id").collect()
+    sinks.write_clean_csv(out.drop("match_id"), str(tmp_path / "flat"))
+    back = readers.read_clean_csv(spark, str(tmp_path / "flat"))
     assert back.schema == CLEAN_SCHEMA
     assert back.collect() == out.select(*CLEAN_SCHEMA.names).collect()
 
 
+def test_storage_keeps_two_matches_apart(spark, tmp_path):
+    rows = [(m, 13, S1 + s * 10**12, m, 0, 0) for m in (1, 2) for s in range(3 * m)]
+    out = clean.clean_samples(raw(spark, rows))
+    sinks.write_clean_csv(out, str(tmp_path / "c"))
+    sinks.write_chunks(clean.with_chunk_id(out), str(tmp_path / "k"))
+    for back in (readers.read_clean_csv(spark, str(tmp_path / "c")),
+                 readers.read_chunks(spark, str(tmp_path / "k"))):
+        got = {r.match_id: r["count"] for r in back.groupBy("match_id").count().collect()}
+        assert got == {1: 3, 2: 6}
+    assert readers.read_chunks(spark, str(tmp_path / "k"), 1, 2, 2).count() == 2
+    assert sinks.order_chunks(spark, str(tmp_path / "k")) >= 9
+
+
 def test_chunks_prune_and_list_in_order(spark, tmp_path):
     rows = [(1, 13, S1 + s * 10**12 + i, 0, 0, 0) for s in (2, 10, 0, 11) for i in range(5)]
     chunked = clean.with_chunk_id(clean.clean_samples(raw(spark, rows))).drop("match_id")

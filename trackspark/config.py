@@ -25,6 +25,8 @@ CLEAN_SCHEMA = StructType(
 )
 
 CHUNKED_SCHEMA = StructType(CLEAN_SCHEMA.fields + [StructField("chunkId", IntegerType())])
+# chunks of many matches, in folders match_id=/chunkId=
+MATCH_CHUNKED_SCHEMA = StructType(CHUNKED_SCHEMA.fields + [StructField("match_id", IntegerType())])
 
 POSITION_SCHEMA = StructType(
     [

@@ -49,12 +49,14 @@ def name_variants(name: Column) -> Column:
 def resolve_player(name: Column, players: tuple = PLAYERS) -> Column:
     """Roster name behind a spelling, else the squeezed input.
 
-    The roster is a literal map inside the expression, so resolving a column needs no join.
+    The roster is a literal map inside the expression, so resolving a column needs no join. The
+    one-element array binds it, so that a row makes it once and not for each spelling.
     """
     roster = F.array(*[F.lit(p[0]) for p in players])
     entries = F.flatten(F.transform(
         roster, lambda p: F.transform(name_variants(p), lambda v: F.struct(v, p))))
     lookup = F.map_from_entries(entries)
-    hits = F.filter(F.transform(name_variants(name), lambda v: F.try_element_at(lookup, v)),
-                    lambda p: p.isNotNull())
+    variants = name_variants(name)
+    hits = F.flatten(F.transform(F.array(lookup), lambda known: F.filter(
+        F.transform(variants, lambda v: F.try_element_at(known, v)), lambda p: p.isNotNull())))
     return F.coalesce(F.get(hits, F.lit(0)), squeeze(name))

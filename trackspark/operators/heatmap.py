@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.config import MATCH, MatchConfig
+from trackspark.functions.once import computed_once
 from trackspark.functions.numbers import is_finite, normalise
 from trackspark.functions.pitch import cell_centre, pitch_x, pitch_y
 
@@ -109,13 +110,15 @@ def with_centres(cells: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
 def dense_grid(smoothed: DataFrame, by: tuple[str, ...] = ("match_id", "sid"),
                cfg: MatchConfig = MATCH) -> DataFrame:
     """``array<array<double>>`` of rows and columns, zeros where nothing was seen."""
-    def filled(index: str, n: int, value: Column, empty: Column) -> Column:
-        known = F.map_from_entries(F.collect_list(F.struct(F.col(index), value)))
-        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                           lambda i: F.coalesce(F.try_element_at(known, i), empty))
+    def filled(df: DataFrame, keys: tuple[str, ...], index: str, n: int, value: str,
+               empty: Column, name: str) -> DataFrame:
+        entries = df.groupBy(*keys).agg(F.collect_list(F.struct(index, value)).alias("entries"))
+        rows = computed_once(entries, list(keys), known=F.map_from_entries("entries"))
+        return rows.select(*keys, F.transform(
+            F.sequence(F.lit(0), F.lit(n - 1)),
+            lambda i: F.coalesce(F.try_element_at("known", i), empty)).alias(name))
 
     zeros = F.array_repeat(F.lit(0.0), cfg.heat_cols)
-    rows = smoothed.groupBy(*by, "grid_row").agg(
-        filled("grid_col", cfg.heat_cols, F.col("value"), F.lit(0.0)).alias("cells"))
-    return rows.groupBy(*by).agg(
-        filled("grid_row", cfg.heat_rows, F.col("cells"), zeros).alias("grid"))
+    rows = filled(smoothed, (*by, "grid_row"), "grid_col", cfg.heat_cols, "value", F.lit(0.0),
+                  "cells")
+    return filled(rows, by, "grid_row", cfg.heat_rows, "cells", zeros, "grid")

@@ -43,14 +43,27 @@ def tick_samples(positions: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     return newest(ticked, ["match_id", "sid", "tick"], tie)
 
 
-def _carry_forward(per_tick: DataFrame, last: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Repeat each sensor's sample until its next one; a generator, not a join."""
+def _spans(per_tick: DataFrame, last: Column) -> DataFrame:
+    """``until``: the tick before each sensor's next sample, else the last one."""
     w = Window.partitionBy("match_id", "sid").orderBy("tick")
     until = F.coalesce(F.lead("tick").over(w) - 1, last)
-    spans = per_tick.withColumn("until", until).where(F.col("until") >= F.col("tick"))
-    return spans.select(
-        "match_id", "sid", F.explode(F.sequence("tick", "until")).alias("tick"),
-        *STATE, *keep)
+    return per_tick.withColumn("until", until).where(F.col("until") >= F.col("tick"))
+
+
+def _carry_forward(per_tick: DataFrame, last: Column, every: int | None = None) -> DataFrame:
+    """Repeat each sensor's sample until its next one; a generator, not a join.
+
+    With ``every`` only its multiples and the last tick are made.
+    """
+    ticks = F.sequence("tick", "until")
+    if every is not None:
+        first = (F.greatest(F.ceil(F.col("tick") / every), F.lit(1)) * every).cast("int")
+        none = F.array().cast("array<int>")
+        regular = F.when(first <= F.col("until"), F.sequence(first, "until", F.lit(every)))
+        final = F.when(F.col("until") == last, F.array("until"))
+        ticks = F.array_distinct(F.concat(F.coalesce(regular, none), F.coalesce(final, none)))
+    return _spans(per_tick, last).select(
+        "match_id", "sid", F.explode(ticks).alias("tick"), *STATE)
 
 
 def snapshot(positions: DataFrame, tie: tuple[str, ...] = (), cfg: MatchConfig = MATCH,
@@ -66,11 +79,7 @@ def snapshot(positions: DataFrame, tie: tuple[str, ...] = (), cfg: MatchConfig =
     # both windows are served by one layout; a match has sensors x seconds rows at most here
     newest_tick = F.max("tick").over(Window.partitionBy("match_id"))
     per_tick = per_tick.withColumn("last", F.greatest(newest_tick, F.lit(cfg.last_tick)))
-    carried = _carry_forward(per_tick, F.col("last"), ("last",))
-    if every is not None:
-        carried = carried.where(((F.col("tick") % every == 0) & (F.col("tick") > 0))
-                                | (F.col("tick") == F.col("last")))
-    return carried.drop("last").repartition("match_id", "tick")
+    return _carry_forward(per_tick, F.col("last"), every).repartition("match_id", "tick")
 
 
 def snapshot_at(positions: DataFrame, ticks: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
@@ -134,16 +143,21 @@ def current_state(latest: DataFrame) -> DataFrame:
 
 def trail(positions: DataFrame, dim: DataFrame, tie: tuple[str, ...] = (),
           cfg: MatchConfig = MATCH) -> DataFrame:
-    """Entities at the newest ticks that have data, with the fade of all but the current one."""
-    seen = positions.select("match_id", F.floor("matchSecond").cast("int").alias("tick")
-                            ).distinct()
-    newest_first = Window.partitionBy("match_id").orderBy(F.desc("tick"))
-    recent = seen.withColumn("age", F.row_number().over(newest_first)).where(
-        F.col("age") <= cfg.trail_ticks)
-    n = F.count("*").over(Window.partitionBy("match_id"))
-    recent = recent.withColumn("n", n).withColumn("trail_index", F.col("n") - F.col("age") + 1)
-    fade = F.when(F.col("age") > 1, F.col("trail_index") / F.col("n") * F.lit(0.7))
-    at = snapshot(positions, tie, cfg).join(
-        recent.select("match_id", "tick", "trail_index", fade.alias("fade")),
-        ["match_id", "tick"])
+    """Entities at the newest ticks that have data, with the fade of all but the current one.
+
+    Samples are read once, and are carried to the wanted ticks only.
+    """
+    match = Window.partitionBy("match_id")
+    age = F.dense_rank().over(match.orderBy(F.desc("tick")))
+    wanted = F.when(F.col("age") <= cfg.trail_ticks, F.struct(F.col("tick").alias("at"), "age"))
+    per_tick = tick_samples(positions, tie).withColumn("age", age).withColumn(
+        "recent", F.collect_set(wanted).over(match))
+    spans = _spans(per_tick, F.element_at(F.array_sort("recent"), -1)["at"])
+    hits = F.filter("recent", lambda r: r["at"].between(F.col("tick"), F.col("until")))
+    n = F.size("recent").cast("bigint")
+    at = spans.select("match_id", "sid", *STATE, n.alias("n"), F.explode(hits).alias("hit"))
+    index = F.col("n") - F.col("hit.age") + 1
+    fade = F.when(F.col("hit.age") > 1, index / F.col("n") * F.lit(0.7))
+    at = at.select("match_id", "sid", *STATE, F.col("hit.at").alias("tick"),
+                   index.alias("trail_index"), fade.alias("fade"))
     return entities(at, dim, ("match_id", "tick", "trail_index", "fade"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark import dims
-from trackspark.config import MATCH, RAW_SCHEMA
+from trackspark.config import MATCH, MATCH_CHUNKED_SCHEMA, RAW_SCHEMA
 from trackspark.functions.pitch import pitch_x, pitch_y
 from trackspark.functions.text import short_label
 from trackspark.operators import (
@@ -117,7 +117,7 @@ def clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "clean-csv")
     sinks.write_clean_csv(fx.clean(spark, sf_dir), path)
     return readers.read_clean_csv(spark, path).select(
-        "sid", "ts", "x", "y", "z", "v_abs", "a_abs", "half", r9("matchSecond"), r9("x_m"),
+        "match_id", "sid", "ts", "x", "y", "z", "v_abs", "a_abs", "half", r9("matchSecond"), r9("x_m"),
         r9("y_m"), r9("z_m"), r9("speed_m_s"), r9("speed_kmh"), r9("acceleration_m_s2"))
 
 
@@ -129,16 +129,15 @@ def _written_chunks(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def chunk_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = readers.read_chunks(spark, _written_chunks(spark, sf_dir))
-    return clean.chunk_row_counts(chunks.withColumn("match_id", F.lit(fx.MATCH_ID)))
+    return clean.chunk_row_counts(readers.read_chunks(spark, _written_chunks(spark, sf_dir)))
 
 
 @query
 def chunk_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     second_half = int(MATCH.second_half_offset_s)
     return readers.read_chunks(
-        spark, _written_chunks(spark, sf_dir), second_half, MATCH.last_tick
-    ).select("chunkId", "sid", "ts", "x", "y", "half", r9("matchSecond"))
+        spark, _written_chunks(spark, sf_dir), second_half, MATCH.last_tick, fx.MATCH_ID
+    ).select("match_id", "chunkId", "sid", "ts", "x", "y", "half", r9("matchSecond"))
 
 
 @query
@@ -581,6 +580,18 @@ def stream_running_stats_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, log, ["match_id", "sid", "intensity", "window_start_s"]))
 
 
+@query
+def stream_running_stats_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk feed over many triggers: in chunk order, nothing is too late."""
+    path = _written_chunks(spark, sf_dir)
+    sinks.order_chunks(spark, path)
+    feed = readers.read_position_stream(spark, path, 450, MATCH_CHUNKED_SCHEMA)
+    valid = clean.position_columns(clean.valid_positions(feed), ("match_id",))
+    log = _drain(spark, pipeline.running_stats_stream(valid), "stream-chunks")
+    return _stats_columns(sinks.read_batch_log(
+        spark, log, ["match_id", "sid", "intensity", "window_start_s"]))
+
+
 @query
 def stream_rolling_stats_60s(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = pipeline.second_stats_stream(fx.position_stream(spark, sf_dir))

@@ -390,10 +390,10 @@ BODIES: dict[str, str] = {
   cast(0 as int) as vy, cast(0 as int) as vz, cast(0 as int) as ax, cast(0 as int) as ay,
   cast(0 as int) as az from raw_samples""",
     "clean_samples": f"""select 1 as match_id, * exclude (v_abs, a_abs) from ({_CLEAN})""",
-    "clean_csv_roundtrip": f"select * exclude (event_id) from ({_CLEAN})",
+    "clean_csv_roundtrip": f"select 1 as match_id, * exclude (event_id) from ({_CLEAN})",
     "chunk_row_counts": """select 1 as match_id, cast(floor(ms) as int) as "chunkId",
   count(*) as n_rows from clean_base group by all""",
-    "chunk_range_scan": """select cast(floor(ms) as int) as "chunkId", sid, ts, x, y, half,
+    "chunk_range_scan": """select 1 as match_id, cast(floor(ms) as int) as "chunkId", sid, ts, x, y, half,
   round(ms,9) as "matchSecond" from clean_base where floor(ms) >= 1804""",
     "valid_positions": f"select 1 as match_id, {_POSITION} from valid_base",
     "non_ball_positions": f"""select 1 as match_id, sid, ts, x, y from valid_base
@@ -591,6 +591,7 @@ BODIES: dict[str, str] = {
   left join (select sid, round(sum(distance_1m),6) as distance, round(sum(time_1m),6) as time_s
     from stats_latest group by sid) d using (sid)""",
     "stream_running_stats_1m": _STATS,
+    "stream_running_stats_chunks": _STATS,
     "stream_rolling_stats_60s": _ROLLING,
     "stream_latest_positions": _LATEST,
     "stream_heatmap_cells": _CELLS,

@@ -27,13 +27,19 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Cleaned samples; ``match_id`` follows where the folders name it."""
     return spark.read.schema(CLEAN_SCHEMA).option("header", True).csv(path)
 
 
 def read_chunks(spark: SparkSession, path: str, first: int | None = None,
-                last: int | None = None) -> DataFrame:
-    """Chunked samples; the range becomes a partition filter, other chunks are not listed."""
+                last: int | None = None, match_id: int | None = None) -> DataFrame:
+    """Chunked samples; the range becomes a partition filter, so other chunks are not read.
+
+    ``match_id`` follows where the folders name it, and can be asked for. All folders are listed.
+    """
     df = spark.read.schema(CHUNKED_SCHEMA).parquet(path)
+    if match_id is not None:
+        df = df.where(F.col("match_id") == match_id)
     if first is not None:
         df = df.where(F.col("chunkId") >= first)
     if last is not None:
@@ -103,32 +109,40 @@ def split_quoted(line: Column) -> Column:
     return F.when(line.contains('"'), unquoted).otherwise(F.split(line, ";"))
 
 
-def _half_of(path: Column) -> Column:
-    return (
-        F.when(path.contains("/1st Half"), 1)
-        .when(path.contains("/2nd Half"), 2)
-        .otherwise(0)
-    )
+def _half_of(path: Column, pattern: str) -> Column:
+    name = F.regexp_extract(path, pattern, 1)
+    return F.when(name == "1st Half", 1).when(name == "2nd Half", 2).otherwise(0)
+
+
+def _match_of(path: Column, match_id: int) -> Column:
+    """The match that a folder ``match_id=`` names, else the given one."""
+    return F.coalesce(F.regexp_extract(path, r"/match_id=(\d+)/", 1).try_cast("int"),
+                      F.lit(match_id))
 
 
 def read_possession_files(spark: SparkSession, path: str, match_id: int = 1) -> DataFrame:
     """Possession files (``1st Half/``, ``2nd Half/`` or flat) as metadata rows.
 
-    The player is the file stem. With half folders present, loose files beside them are ignored.
+    The player is the file stem, the half is the folder right above the file. Folders
+    ``match_id=`` above tell matches apart, else all is one match. In a match with half folders,
+    loose files are ignored.
     """
-    lines = read_latin1_lines(spark, path).withColumn("half", _half_of(F.col("path")))
+    lines = read_latin1_lines(spark, path)
     stem = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
     rows = lines.select(
-        F.lit(match_id).alias("match_id"), stem.alias("file_player"), "half", "line_no",
+        _match_of(F.col("path"), match_id).alias("match_id"), stem.alias("file_player"),
+        _half_of(F.col("path"), r"/([^/]+)/[^/]+$").alias("half"), "line_no",
         clean_fields(split_quoted(F.col("line"))).alias("fields"),
     ).where(F.size("fields") > 0)
-    has_halves = rows.where(F.col("half") > 0).limit(1).count() > 0
-    return rows.where(F.col("half") > 0) if has_halves else rows
+    halved = rows.where(F.col("half") > 0).select("match_id").distinct().withColumn(
+        "halved", F.lit(True))
+    return rows.join(halved, "match_id", "left").where(
+        (F.col("half") > 0) | F.col("halved").isNull()).drop("halved")
 
 
 def read_event_files(spark: SparkSession, path: str, match_id: int = 1) -> DataFrame:
-    """Match-event files ``<folder>/<half>.csv`` as raw lines."""
+    """Match-event files ``<folder>/<half>.csv`` as raw lines, matches as for possession."""
     folder = F.regexp_extract("path", r"([^/]+)/[^/]+\.csv$", 1)
     return read_latin1_lines(spark, path).select(
-        F.lit(match_id).alias("match_id"), folder.alias("folder"),
-        _half_of(F.col("path")).alias("half"), "line_no", "line")
+        _match_of(F.col("path"), match_id).alias("match_id"), folder.alias("folder"),
+        _half_of(F.col("path"), r"/([^/]+)\.csv$").alias("half"), "line_no", "line")

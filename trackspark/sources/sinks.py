@@ -14,19 +14,28 @@ def write_raw_csv(raw: DataFrame, path: str) -> None:
     raw.select(*RAW_SCHEMA.names).write.mode("overwrite").option("header", False).csv(path)
 
 
+def _match_key(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == "match_id"]
+
+
 def write_clean_csv(clean: DataFrame, path: str) -> None:
-    clean.select(*CLEAN_SCHEMA.names).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; rows with a ``match_id`` go to one folder per match."""
+    match = _match_key(clean)
+    clean.select(*CLEAN_SCHEMA.names, *match).write.mode("overwrite").option(
+        "header", True).partitionBy(*match).csv(path)
 
 
 def write_chunks(chunked: DataFrame, path: str) -> None:
-    """Parquet by ``chunkId``: one file per chunk, more only where a chunk spans tasks.
+    """Parquet by ``chunkId``, below ``match_id`` if there is one: one file per chunk, more only
+    where a chunk spans tasks.
 
-    Tasks are cut by range over (chunk, time, sensor), so they hold about equal amounts of rows
-    even when one chunk has most of them.
+    Tasks are cut by range over (match, chunk, time, sensor), so they hold about equal amounts of
+    rows even when one chunk has most of them.
     """
+    folders = [*_match_key(chunked), "chunkId"]
     tasks = int(chunked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunked.repartitionByRange(tasks, "chunkId", "ts", "sid").write.mode("overwrite").partitionBy(
-        "chunkId").parquet(path)
+    chunked.repartitionByRange(tasks, *folders, "ts", "sid").write.mode("overwrite").partitionBy(
+        *folders).parquet(path)
 
 
 def order_chunks(spark: SparkSession, path: str) -> int:
@@ -34,16 +43,16 @@ def order_chunks(spark: SparkSession, path: str) -> int:
 
     Parallel tasks finish chunks in any order, and a file stream takes files by their time, so
     without this a watermark drops chunks that come too late. Times are one second apart and lie
-    in the past. Only names and times pass through the driver. The store must keep file times
-    that are set (local and HDFS do).
+    in the past; chunks of several matches alternate. Only names and times pass through the
+    driver. The store must keep file times that are set (local and HDFS do).
     """
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     files = []
-    for folder in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "chunkId=*")):
-        chunk = int(folder.getPath().getName().split("=")[1])
-        files += [(chunk, f.getPath().getName(), f.getPath())
-                  for f in fs.listStatus(folder.getPath())]
+    for below in ("chunkId=*/*.parquet", "match_id=*/chunkId=*/*.parquet"):
+        for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, below)):
+            chunk = int(f.getPath().getParent().getName().split("=")[1])
+            files.append((chunk, f.getPath().toString(), f.getPath()))
     newest = spark._jvm.System.currentTimeMillis()
     for place, (_, _, file) in enumerate(sorted(files, key=lambda f: f[:2])):
         fs.setTimes(file, newest - 1000 * (len(files) - place), -1)
