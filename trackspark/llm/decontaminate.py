@@ -26,10 +26,10 @@ def _token() -> Column:
     return F.coalesce(F.lower("word"), F.lit(""))
 
 
-def _sized(df: DataFrame, text: str) -> DataFrame:
-    """``df`` marked for broadcast if its measured bytes allow it."""
+def _is_small(df: DataFrame, text: str) -> bool:
+    """Whether the measured bytes of ``df`` allow a broadcast."""
     size = df.agg(F.sum(F.octet_length(text) + F.lit(100))).first()[0] or 0
-    return F.broadcast(df) if size <= SMALL_SIDE else df
+    return size <= SMALL_SIDE
 
 
 def windows(items: DataFrame, n: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -60,8 +60,10 @@ def _prefixes(docs: DataFrame, wins: DataFrame, text: str) -> DataFrame:
     each = each.withColumn("token", F.lower("token"))
     vocabulary = materialise(each.select("token").distinct(), "benchmark-words")
     seen = docs.select(F.explode_outer(words(text)).alias("word")).select(_token().alias("token"))
-    counts = (seen.join(_sized(vocabulary, "token"), "token").groupBy("token")
-              .agg(F.count(F.lit(1)).alias("freq")))
+    if _is_small(vocabulary, "token"):
+        seen = seen.join(F.broadcast(vocabulary), "token")
+    # beyond that words are counted within each task before they are shuffled
+    counts = seen.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     ranked = each.join(counts, "token", "left").groupBy("window").agg(
         F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "token", "offset")).alias("p"))
     ranked = ranked.where("p.freq > 0")  # a token that no document has ends its windows here
@@ -77,12 +79,19 @@ def occurrences(docs: DataFrame, items: DataFrame, n: int = 10, keys: tuple[str,
     prefixes = materialise(_prefixes(docs, wins, text), "prefixes")
     tokens = docs.select(*keys, words(text).alias("ws"))
     tokens = tokens.select(*keys, "ws", F.posexplode_outer("ws").alias("pos", "word"))
-    tokens = tokens.withColumn("token", _token())
+    tokens = tokens.withColumn("token", _token()).withColumn("n_words", F.size("ws"))
+    if _is_small(prefixes, "window"):
+        prefixes, first = F.broadcast(prefixes), F.lit(0)
+    else:
+        # a shuffled word takes along the words that a window around it can hold, not the text
+        first = F.greatest(F.col("pos") - (n - 1), F.lit(0))
+        tokens = tokens.withColumn("ws", F.slice("ws", first + 1, 2 * n - 1))
     start = F.col("pos") - F.col("offset")
     # positional and length bounds first: the window must lie within the document
-    found = tokens.join(_sized(prefixes, "window"), "token").where(
-        (start >= 0) & (start + F.col("w") <= F.size("ws")))
-    same = F.translate(F.concat_ws(" ", F.slice("ws", start + 1, F.col("w"))), UPPER, LOWER)
+    found = tokens.join(prefixes, "token").where(
+        (start >= 0) & (start + F.col("w") <= F.col("n_words")))
+    near = F.slice("ws", start - first + 1, F.col("w"))
+    same = F.translate(F.concat_ws(" ", near), UPPER, LOWER)
     return found.where(same == F.col("window")).select(*keys, start.alias("start"), "w", "items")
 
 
