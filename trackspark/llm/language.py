@@ -61,21 +61,23 @@ def learn(docs: DataFrame, learn_from, doc_id: str = "doc_id", text: str = "text
     """A dictionary per language: passages of the documents with the smallest id hashes.
 
     Passages start at a place that the hash gives. At most PASSAGES times PASSAGE_CHARS
-    characters of each language reach the driver.
+    characters of each language reach the driver. Rows of one id give one passage; the text
+    stands for an id that is null.
     """
-    h = F.xxhash64(F.col(doc_id).cast("string"), F.lit("passage"))
+    h = F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.col(text)), F.lit("passage"))
     start = F.pmod(h, F.greatest(F.length(text) - PASSAGE_CHARS, F.lit(1))) + 1
     rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang).alias("lang"), h.alias("h"), F.substring(
         F.col(text), start.cast("int"), F.lit(PASSAGE_CHARS)).alias("passage"))
     # only hashes that can be among the smallest are ranked, four times as many as are needed
-    sizes = rows.groupBy("lang").count().collect()
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     if not sizes:
         return {}
     share = F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in (
-        r["lang"], min(1.0, 4 * PASSAGES / r["count"]))]), F.col("lang"))
+        r["lang"], min(1.0, 4 * PASSAGES / r["n"]))]), F.col("lang"))
     rows = rows.where((F.col("h") + float(1 << 63)) / float(1 << 64) <= share)
-    place = F.row_number().over(W.partitionBy("lang").orderBy("h", "passage"))
+    rows = rows.groupBy("lang", "h").agg(F.min("passage").alias("passage"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h"))
     rows = rows.withColumn("place", place).where(F.col("place") <= PASSAGES)
     found: dict[str, list[tuple[int, str]]] = {}
     for r in rows.collect():
