@@ -324,7 +324,8 @@ def deduplicated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = repeats(rows, length)
-    runs = found.groupBy(*KEYS).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    # a set: rows that repeat id and text find the same runs, however many they are
+    runs = found.groupBy(*KEYS).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     on = [rows[k].eqNullSafe(runs[k]) for k in KEYS]
     joined = rows.join(runs, on[0] & on[1], "left").select(rows["doc_id"], "text", "runs")
 
