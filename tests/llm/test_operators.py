@@ -244,7 +244,9 @@ def test_isotonic_rises(spark):
     assert (np.diff(x) >= 0).all() and (np.diff(y) >= 0).all()
 
 
-def test_decontamination_equals_brute_force(spark, docs, empty):
+@pytest.mark.parametrize("small_side", [decontaminate.SMALL_SIDE, -1])
+def test_decontamination_equals_brute_force(spark, monkeypatch, docs, empty, small_side):
+    monkeypatch.setattr(decontaminate, "SMALL_SIDE", small_side)
     given = rows_of(docs)
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     passage = (given[9][1] or prose(9, 40)).upper()
@@ -305,6 +307,8 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, pairs, most):
         want.append((i, len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
     df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(3)
     assert sorted(tuple(r) for r in suffixes.deduplicated(df).collect()) == want
+    again = suffixes.deduplicated(df.union(df.where("doc_id = 60")))  # its text has two bytes each
+    assert [tuple(r)[1:4] for r in again.where("doc_id = 60").collect()] == [(600, 600, 1)] * 2
     assert suffixes.deduplicated(df.where("false")).count() == 0
 
 
@@ -324,6 +328,8 @@ def test_language(spark, docs, empty):
     assert all(got[i].lang_pred == lang for i, _, lang in rows[:80])
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (500, 501, 502))
     assert language.language(empty).count() == 0
+    hot = df.union(df.where("doc_id = 1").crossJoin(spark.range(500)).drop("id"))
+    assert language.learn(hot, F.lit(True)) == language.learn(df, F.lit(True))
     assert language.language(docs).count() == docs.count()
 
 
