@@ -1,7 +1,10 @@
 """Extra time, order of the chunk feed, texts beyond the range of a number."""
 
+import os
+
 from pyspark.sql import functions as F
 
+from trackspark import session
 from trackspark.functions import times
 from trackspark.operators import snapshot
 from trackspark.operators.ticks import minute_ticks
@@ -66,3 +69,16 @@ def test_ordered_chunk_feed_loses_nothing(spark, tmp_path):
                for s in p["stateOperators"]]
     query.stop()
     assert len(query.recentProgress) >= 30 and sum(dropped) == 0
+
+
+def test_run_folder_takes_its_tables_along(spark):
+    with session.run_folder(spark) as outer:
+        with session.run_folder(spark) as inner:
+            assert inner.startswith(outer)
+            kept = session.materialise(spark.range(5), "numbers")
+            assert kept.count() == 5 and all(inner in f for f in kept.inputFiles())
+        assert not os.path.exists(inner)
+        assert session.materialise(spark.range(3), "numbers").count() == 3
+        assert os.path.exists(outer)
+    assert not os.path.exists(outer)
+    assert not session.work_dir(spark, "later").startswith(outer)

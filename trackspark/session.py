@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 
 def build_session(app_name: str = "trackspark", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -38,7 +43,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     Lies under ``spark.checkpoint.dir`` (shared storage on a cluster). Only a local
     master may fall back to a temporary folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _run_folder.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
@@ -46,6 +51,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """All work folders made inside lie in one folder, which is removed at the end.
+
+    Results that read them must be written or fetched inside, and streams stopped. Outside of
+    it, work folders stay until the owner of ``spark.checkpoint.dir`` removes them.
+    """
+    path = work_dir(spark, name)
+    before = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read, and go on from the written table.
 
