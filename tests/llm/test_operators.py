@@ -388,3 +388,29 @@ def test_pipeline(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} <= kept[2] and len(out) > 40
     assert not out or {r.law for r in out} == {"key"}
+
+
+def _five_word_sets(rows):
+    return [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in
+            (t.split() for _, t in rows)]
+
+
+def test_near_dedup_decides_by_exact_similarity(spark):
+    """Pairs of similarity 0.75 to 0.95 against brute force, and long lines that repeat."""
+    rows = []
+    for i in range(60):
+        words = [f"w{i}x{k}" for k in range(300)]
+        other = list(words)
+        for k in range(1 + i % 9):  # each changed word costs five shingles
+            other[20 + 30 * k] = "changed"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    line = "the same line of eight words stands here "
+    rows += [(1000 + i, line * 20 + " ".join(f"v{i}x{k}" for k in range(300))) for i in range(2)]
+    sets, want = _five_word_sets(rows), np.arange(len(rows))
+    similar = [(a, b) for a in range(len(rows)) for b in range(a)
+               if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert 30 < len(similar) < 60
+    simhash.merge(want, *np.array(similar).T)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert got == {r[0] for i, r in enumerate(rows) if want[i] == i}
