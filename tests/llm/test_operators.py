@@ -414,3 +414,21 @@ def test_near_dedup_decides_by_exact_similarity(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
     assert got == {r[0] for i, r in enumerate(rows) if want[i] == i}
+
+
+def test_stages_tell_rows_of_one_id_apart(spark, tmp_path):
+    a, b, c, d = (prose(2000 + i, 90) for i in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, b), (None, c), (None, c), (None, c + " end"), (None, a),
+            (None, d), (7, d), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = corpus_pipeline.near_dedup(spark, df, "").collect()
+    kept = [tuple(r) for r in got if r.text not in (c, c + " end")]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (7, d), (7, None)], key=str)
+    assert len(got) == 5 and sum(r.doc_id is None for r in got) == 1
+    spark.createDataFrame([(1, b[:200])], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    rows += [(None, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = corpus_pipeline.decontaminated(spark, df, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, clean))) == sorted(
+        str(r) for r in rows if r[1] != b)

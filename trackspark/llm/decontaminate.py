@@ -104,6 +104,13 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str =
     empty benchmark leaves all clean. Rows that repeat id and text get equal results. Documents
     are told apart by id and text hash, so a null or repeated id mixes nothing.
     """
+    return contamination_by_key(docs, items, n, doc_id, text, item_id, item_text).drop("text_key")
+
+
+def contamination_by_key(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str = "doc_id",
+                         text: str = "text", item_id: str = "item_id",
+                         item_text: str = "text") -> DataFrame:
+    """contamination() with the text_key that tells rows of one id, or of none, apart."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                         F.xxhash64(F.col(text)).alias("text_key"))
     keys = ("doc_id", "text_key")
@@ -123,6 +130,6 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str =
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return base.join(hits, on, "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+        *keys, "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
