@@ -432,3 +432,13 @@ def test_stages_tell_rows_of_one_id_apart(spark, tmp_path):
     clean = corpus_pipeline.decontaminated(spark, df, str(tmp_path)).collect()
     assert sorted(map(str, map(tuple, clean))) == sorted(
         str(r) for r in rows if r[1] != b)
+
+
+def test_suffix_context_has_one_row_for_repeated_rows(spark):
+    rows = [(None, 5, bytearray(b"x" * 50))] * 40 + [(1, 6, bytearray(b"y" * 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text_key long, text binary").repartition(4)
+    todo = spark.createDataFrame(
+        [(None, 5, 0, 0, 3, 9, 1, False), (1, 6, 0, 0, 3, 9, 1, False)],
+        "doc_id long, text_key long, anchor long, first long, last long, gram long, n long, "
+        "hot boolean")
+    assert suffixes._context(df, todo, 40).count() == 2

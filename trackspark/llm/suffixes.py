@@ -234,8 +234,9 @@ def _context(docs: DataFrame, todo: DataFrame, length: int) -> DataFrame:
     each = F.struct("anchor", "first", "last", "gram", "n", "hot")
     wanted = todo.groupBy(*KEYS).agg(F.collect_list(each).alias("wanted"))
     on = [docs[k].eqNullSafe(wanted[k]) for k in KEYS]
+    # rows that repeat id and text are one place
     rows = docs.join(wanted, on[0] & on[1]).select(
-        *[docs[k] for k in KEYS], "text", "wanted")
+        *[docs[k] for k in KEYS], "text", "wanted").dropDuplicates(list(KEYS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "text_key", "gram", "anchor", "first", "last", "n", "left", "right",
