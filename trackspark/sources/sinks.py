@@ -44,18 +44,27 @@ def order_chunks(spark: SparkSession, path: str) -> int:
     Parallel tasks finish chunks in any order, and a file stream takes files by their time, so
     without this a watermark drops chunks that come too late. Times are one second apart and lie
     in the past; chunks of several matches alternate. Only names and times pass through the
-    driver. The store must keep file times that are set (local and HDFS do).
+    driver. The store must keep file times that are set (local and HDFS do); where the times
+    read back are not in chunk order, this raises, since the stream would lose chunks.
     """
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = []
-    for below in ("chunkId=*/*.parquet", "match_id=*/chunkId=*/*.parquet"):
-        for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, below)):
-            chunk = int(f.getPath().getParent().getName().split("=")[1])
-            files.append((chunk, f.getPath().toString(), f.getPath()))
+
+    def listed() -> list[tuple]:
+        return sorted(((int(f.getPath().getParent().getName().split("=")[1]),
+                        f.getPath().toString(), f.getPath(), f.getModificationTime())
+                       for below in ("chunkId=*/*.parquet", "match_id=*/chunkId=*/*.parquet")
+                       for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, below))),
+                      key=lambda f: f[:2])
+
+    files = listed()
     newest = spark._jvm.System.currentTimeMillis()
-    for place, (_, _, file) in enumerate(sorted(files, key=lambda f: f[:2])):
+    for place, (_, _, file, _) in enumerate(files):
         fs.setTimes(file, newest - 1000 * (len(files) - place), -1)
+    times = [f[3] for f in listed()]
+    if len(times) != len(files) or any(a >= b for a, b in zip(times, times[1:], strict=False)):
+        raise RuntimeError(f"{path}: the store does not keep file times, so a file stream would "
+                           "take chunks out of order and drop late ones")
     return len(files)
 
 
