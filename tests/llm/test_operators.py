@@ -62,18 +62,19 @@ def rows_of(docs):
     return [(r.doc_id, r.text) for r in docs.collect()]
 
 
-def test_simhash_equals_brute_force(spark, docs, empty):
-    def mark(text):
-        words = (text or "").encode().lower().split()
-        shingles = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or (
-            [b" ".join(words)] if words else [])
-        bits = [0] * 64
-        for s in shingles:
-            h = xxhash.xxh64_intdigest(s, 42)
-            for i in range(64):
-                bits[i] += h >> i & 1
-        return sum(1 << i for i in range(64) if 2 * bits[i] > len(shingles))
+def mark(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or (
+        [b" ".join(words)] if words else [])
+    bits = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s, 42)
+        for i in range(64):
+            bits[i] += h >> i & 1
+    return sum(1 << i for i in range(64) if 2 * bits[i] > len(shingles))
+
 
+def test_simhash_equals_brute_force(spark, docs, empty):
     given = rows_of(docs)
     codes = np.array([mark(t) for _, t in given], np.uint64)
     label = np.arange(len(codes))
@@ -369,9 +370,7 @@ def test_mix_meets_targets(spark, docs, empty):
 
 def test_pipeline(spark, tmp_path):
     rows = [(i, prose(i, 120), "en", f"s{i % 3}", 0) for i in range(60)]
-    near = rows[4][1].split()
-    near[50] = "changed"
-    rows += [(100, rows[3][1], "en", "s0", 0), (101, " ".join(near), "en", "s1", 0),
+    rows += [(100, rows[3][1], "en", "s0", 0), (101, rows[4][1].upper(), "en", "s1", 0),
              (102, "!! 12", "en", "s1", 0), (103, None, None, None, None),
              (104, prose(900, 50) + " " + prose(901, 40), "en", "s2", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
@@ -390,30 +389,35 @@ def test_pipeline(spark, tmp_path):
     assert not out or {r.law for r in out} == {"key"}
 
 
-def _five_word_sets(rows):
-    return [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in
-            (t.split() for _, t in rows)]
-
-
-def test_near_dedup_decides_by_exact_similarity(spark):
-    """Pairs of similarity 0.75 to 0.95 against brute force, and long lines that repeat."""
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    """Groups of fingerprints by brute force; ids are null or repeat, columns clash in name."""
     rows = []
-    for i in range(60):
-        words = [f"w{i}x{k}" for k in range(300)]
-        other = list(words)
-        for k in range(1 + i % 9):  # each changed word costs five shingles
-            other[20 + 30 * k] = "changed"
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
-    line = "the same line of eight words stands here "
-    rows += [(1000 + i, line * 20 + " ".join(f"v{i}x{k}" for k in range(300))) for i in range(2)]
-    sets, want = _five_word_sets(rows), np.arange(len(rows))
-    similar = [(a, b) for a in range(len(rows)) for b in range(a)
-               if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    assert 30 < len(similar) < 60
-    simhash.merge(want, *np.array(similar).T)
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
-    assert got == {r[0] for i, r in enumerate(rows) if want[i] == i}
+    for i in range(40):
+        words = prose(3000 + i, 200 + i).split()
+        rows.append((3 * i, " ".join(words), i))
+        for k in range(2):
+            words[10 + 60 * k] = "changed"
+            rows.append((3 * i + k + 1, " ".join(words), i))
+    rows += [(0, rows[9][1], 7), (None, rows[30][1], 1), (None, None, 1), (None, "", 1),
+             (500, "  ", 2), *[(None, "alone without an id", 3)] * 4, rows[5], rows[5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").withColumns({
+        "id": F.lit("x"), "code": F.lit(1), "whole": F.lit(None).cast("int"),
+        "text_key": F.lit(0), "rows": F.lit(9)}).repartition(5)
+    codes = np.array([mark(t) for _, t, _ in rows], np.uint64)
+    label = np.arange(len(codes))
+    simhash.merge(label, *np.nonzero(np.bitwise_count(codes[:, None] ^ codes[None]) <= 3))
+    assert 40 < len(set(label.tolist())) < len(rows) - 40
+    got = corpus_pipeline.near_dedup(spark, df, "")
+    assert got.columns == df.columns
+    at = {(i, t, n): lab for (i, t, n), lab in zip(rows, label.tolist(), strict=True)}
+    found = [at[r.doc_id, r.text, r.n] for r in got.collect()]
+    assert sorted(found) == sorted(set(label.tolist()))
+    least = {}
+    for (i, _, _), lab in zip(rows, label.tolist(), strict=True):
+        least[lab] = min(least.get(lab, (True, 0)), (i is None, i or 0))
+    assert all((r.doc_id is None, r.doc_id or 0) == least[at[r.doc_id, r.text, r.n]]
+               for r in got.collect())
+    assert corpus_pipeline.near_dedup(spark, df.where("false"), "").count() == 0
 
 
 def test_stages_tell_rows_of_one_id_apart(spark, tmp_path):
@@ -422,9 +426,9 @@ def test_stages_tell_rows_of_one_id_apart(spark, tmp_path):
             (None, d), (7, d), (7, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = corpus_pipeline.near_dedup(spark, df, "").collect()
-    kept = [tuple(r) for r in got if r.text not in (c, c + " end")]
-    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (7, d), (7, None)], key=str)
-    assert len(got) == 5 and sum(r.doc_id is None for r in got) == 1
+    groups = {mark(r.text): r for r in got}
+    assert len(groups) == len(got) and set(groups) == {mark(t) for _, t in rows}
+    assert sum(r.doc_id is None for r in got) == len({mark(c), mark(c + " end")})
     spark.createDataFrame([(1, b[:200])], "item_id long, text string").write.parquet(
         f"{tmp_path}/benchmark.parquet")
     rows += [(None, b)]

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trackspark.llm import (
+    align,
     decontaminate,
     language,
     mixing,
+    phrases,
     quality,
+    rules,
     secrets,
     sharding,
     simhash,
@@ -65,6 +68,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_topk": op2_topk,
@@ -76,9 +91,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_phrases": op12_phrases,
+    "op13_alignment": op13_alignment,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BREAK, _PLAIN = r"[.,;:!?\x0A-\x0D]", r"[^\x20\x09]+"
 _LOW = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
         "'abcdefghijklmnopqrstuvwxyz')")
 
@@ -130,5 +149,35 @@ select d.doc_id, cast(len(d.ws) as bigint) as n_words, coalesce(h.n_hit, 0) as n
        sha256(coalesce(array_to_string(i.ids, ','), '')) as items_sha256,
        coalesce(h.n_hit, 0) > 0 as contaminated
 from doc_words d left join hits h on d.r = h.r left join ids i on d.r = i.r
+""",
+    "op12_phrases": f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOW}, '{_BREAK}')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '{_PLAIN}') as ws from pieces),
+total as (select lang, cast(sum(len(ws)) as bigint) as n from words group by lang),
+grams as (
+  select lang, m, list_slice(ws, i, i + m - 1) as g
+  from (select lang, ws, m, unnest(range(1, len(ws) - m + 2)) as i
+        from words, (values (1), (2), (3), (4), (5)) t(m) where len(ws) >= m)),
+f as (select lang, m, g, count(*) as f from grams group by lang, m, g having count(*) >= 100),
+cuts as (
+  select p.lang, p.m, p.g, p.f as a, k, x.f as l, y.f as r, n,
+         cast((1000::hugeint * p.f * n) // (x.f::hugeint * y.f) as bigint) as score
+  from (select *, unnest(range(1, m)) as k from f where m > 1) p
+  join total using (lang)
+  join f x on x.lang = p.lang and x.g = list_slice(p.g, 1, p.k)
+  join f y on y.lang = p.lang and y.g = list_slice(p.g, p.k + 1, p.m)),
+best as (
+  select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1),
+inside as (
+  select lang, list_slice(g, i, i + w - 1) as g, max(f) as longer
+  from (select lang, g, f, w, unnest(range(1, m - w + 2)) as i
+        from f, (values (2), (3), (4)) t(w) where m > w) group by all)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, n, score
+from (select b.*, array_to_string(b.g, ' ') as phrase from best b
+      left join inside i on i.lang = b.lang and i.g = b.g where coalesce(longer, 0) < a)
+qualify rank <= 2000
 """,
 }

@@ -280,3 +280,40 @@ def near_duplicates(docs: DataFrame, n: int = 3, bits: int = 3, words: int = 1,
     return marked.join(rooted, "code", "left").select(
         "doc_id", F.lower(F.hex("code")).alias("fingerprint"),
         F.when(F.col("component_id") < NO_ID, F.col("component_id")).alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, n: int = 3, bits: int = 3, doc_id: str = "doc_id",
+                        text: str = "text") -> DataFrame:
+    """One row of each group of linked fingerprints stays as it is, with all its columns.
+
+    It is the row with the smallest id, null last, then with the smallest hash of its text and of
+    the whole row. Groups are built on fingerprints alone, so rows that share an id but no text
+    join nothing. Null and empty texts have fingerprint zero and are one group.
+    """
+    key = ["id", "text_key", "row_key"]
+    rows = docs.select(F.struct("*").alias("whole"), F.col(doc_id).cast("long").alias("id"),
+                       F.xxhash64(text_bytes(text)).alias("text_key"),
+                       F.xxhash64(*docs.columns).alias("row_key"), text_bytes(text).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        return {k: batch.column(i) for i, k in enumerate(key)} | {
+            "code": [fingerprint(t, n) for t in batch.column(3).to_pylist()]}
+
+    marked = map_rows(rows.select(*key, "text"),
+                      "id long, text_key long, row_key long, code binary", run)
+    kinds = materialise(marked.groupBy("code", *key).agg(F.count(F.lit(1)).alias("n")), "kinds")
+    first = kinds.groupBy("code").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), *key, "n")).alias("best"))
+    # a fingerprint of 64 bits is its own number
+    first = materialise(first.withColumn(
+        "node", F.conv(F.hex("code"), 16, -10).cast("long")), "codes")
+    found = components(links(first.select("node", "code"), bits, 1))
+    best = first.join(found, "node", "left").groupBy(
+        F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
+    stay = materialise(best.select(*[F.col(f"best.{k}").alias(f"its_{k}") for k in [*key, "n"]]),
+                       "stay")
+    kept = rows.join(stay, F.col("id").eqNullSafe(F.col("its_id")) & (
+        F.col("text_key") == F.col("its_text_key")) & (F.col("row_key") == F.col("its_row_key")))
+    once = kept.where("its_n = 1").select("whole.*")
+    again = kept.where("its_n > 1").dropDuplicates(["its_id", "its_text_key", "its_row_key"])
+    return once.unionByName(again.select("whole.*"))
