@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.llm import decontaminate, language, mixing, near, sharding
+from trackspark.llm import decontaminate, language, mixing, sharding, simhash
 from trackspark.llm.common import crc_part, materialise
 
 
@@ -18,9 +18,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: the one with the smallest id, null last.
 
-    Near copies have sets of five-word shingles of Jaccard similarity 0.8 and more.
+    Near copies have fingerprints of three-word shingles that differ in at most three bits.
     """
-    return near.without_near_copies(docs, n=5)
+    return simhash.without_near_copies(docs, n=3, bits=3)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
