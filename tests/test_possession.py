@@ -207,6 +207,38 @@ def test_possession_state_equals_brute_force(spark, window):
         assert r.s == pytest.approx(1.0) and r.m > 0
 
 
+def test_intervals_of_any_length_equal_brute_force(spark):
+    """One interval of 1e12 seconds and more beside normal ones, and probes far apart."""
+    data, _ = random_merged(spark, 11)
+    data += [(A1, 5e3, 5e3 + 1e12), (B1, 1e4, 3.6e12), (A2, 7e3, 7e3 + 60 * 4096), (B1, 2e3, 2.5e3)]
+    merged = intervals(spark, data)
+    times = [0.0, 61.25, 333.3, 2.2e3, 5e3, 6e3, 7e3, 7060.0, 123456.75, 252760.0, 252759.5, 1e6,
+             5e11, 1e12, 1e12 + 4999.0, 1e12 + 5000.0, 3e12, 3.6e12, 1e13]
+    ticks = spark.createDataFrame([(1, t) for t in times], "match_id int, t double")
+    timeline = materialise(possession.possession_timeline(merged, player_dim(spark)), "tl")
+    current = {}
+    for r in possession.current_possessors(merged, ticks).collect():
+        current.setdefault(r.t, []).append(r.player)
+    for window in (None, 60.0):
+        got = {(r.t, r.player): r.seconds for r in possession.time_on_ball(
+            timeline, ticks, window).collect()}
+        for t in times:
+            holders, held, _ = brute_state(data, t, window)
+            assert sorted(current.get(t, [])) == holders
+            assert {p: s for (u, p), s in got.items() if u == t} == pytest.approx(held)
+    assert timeline.count() < 2 * len(data)
+
+
+@pytest.mark.parametrize("lo, hi", [(0, 1), (-7, 9), (5, 6), (3, 1000), (-1024, 1024), (7, 1 << 40)])
+def test_nodes_cover_each_bucket_once(spark, lo, hi):
+    merged = intervals(spark, [(A1, lo - 0.5, hi + 0.5)])
+    nodes = possession._nodes(merged, 1.0).collect()
+    spans = sorted((r.node << r.level, (r.node + 1) << r.level) for r in nodes)
+    assert spans[0][0] == lo and spans[-1][1] == hi
+    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert len(spans) <= 2 * (hi - lo).bit_length()
+
+
 def test_timeline_segments_do_not_overlap(spark):
     _, merged = random_merged(spark, 9)
     segments = sorted((r.left_s, r.right_s) for r in possession.possession_timeline(

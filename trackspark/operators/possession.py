@@ -1,13 +1,15 @@
 """Possession from merged intervals: who holds the ball, resolved timeline, time on ball.
 
-Interval work is cut into time buckets. Inside a bucket each probe meets the active *players*,
-not all intervals: a window carries every player's last interval forward, so the cost is
-probes x players and no set of all pairs is built.
+Intervals may have any length. The first and the last time bucket of an interval are pieces of
+their own; the whole buckets between them are covered by dyadic nodes, at most two per level, so
+an interval gives no more rows than twice the logarithm of its length. Inside a bucket each
+probe meets the active *players*, not all pieces: a window carries every player's last one
+forward. Of the nodes a probe looks up one per level. No set of all pairs is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackspark.config import LOOSE_BALL, MATCH, TEAM_A, TEAM_B, MatchConfig
@@ -16,10 +18,14 @@ from trackspark.functions.text import duration_text
 BUCKET_S = 60.0
 
 
+def _bucket(time: str, width: float) -> Column:
+    return F.floor(F.col(time) / width)
+
+
 def _pieces(merged: DataFrame, width: float) -> DataFrame:
-    """Intervals cut at bucket borders; ``start_s`` stays the start of the whole interval."""
-    buckets = F.sequence(F.floor(F.col("start_s") / width), F.floor(F.col("end_s") / width))
-    cut = merged.select("match_id", "player", "start_s", "end_s", F.explode(buckets).alias("b"))
+    """First and last bucket of each interval; ``start_s`` stays the start of the whole."""
+    ends = F.array_distinct(F.array(_bucket("start_s", width), _bucket("end_s", width)))
+    cut = merged.select("match_id", "player", "start_s", "end_s", F.explode(ends).alias("b"))
     return cut.select(
         "match_id", "b", "player", "start_s",
         F.greatest(F.col("start_s"), F.col("b") * width).alias("from_s"),
@@ -27,8 +33,26 @@ def _pieces(merged: DataFrame, width: float) -> DataFrame:
     ).where(F.col("to_s") > F.col("from_s"))
 
 
-def _held_at(pieces: DataFrame, probes: DataFrame) -> DataFrame:
-    """For each probe (match_id, b, t, ...) one row per player whose interval covers ``t``."""
+def _nodes(merged: DataFrame, width: float) -> DataFrame:
+    """(match_id, level, node, player, start_s): the whole buckets inside each interval.
+
+    A node of level k holds 2^k buckets. On a level at most the outermost nodes to the left and
+    to the right of the range are not part of a larger one.
+    """
+    spans = merged.select(
+        "match_id", "player", "start_s", (_bucket("start_s", width) + 1).alias("lo"),
+        _bucket("end_s", width).alias("hi")).where("hi > lo")
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(F.col("hi") - F.col("lo") + 1)).cast("int"))
+    at = spans.select("match_id", "player", "start_s", "lo", "hi", F.explode(levels).alias("level"))
+    at = at.withColumns({"lo": F.expr("-shiftright(-lo, level)"),  # rounded up
+                         "hi": F.expr("shiftright(hi, level)")}).where("lo < hi")
+    outer = F.array(F.when(F.expr("lo % 2 <> 0"), F.col("lo")),
+                    F.when(F.expr("hi % 2 <> 0"), F.col("hi") - 1))
+    return at.select("match_id", "level", F.explode(F.array_compact(outer)).alias("node"),
+                     "player", "start_s")
+
+
+def _held_in_bucket(pieces: DataFrame, probes: DataFrame) -> DataFrame:
     extra = [c for c in probes.columns if c not in ("match_id", "b", "t")]
     payload = F.struct("t", *extra).alias("probe")
     players = pieces.select("match_id", "b", "player").distinct()
@@ -49,10 +73,24 @@ def _held_at(pieces: DataFrame, probes: DataFrame) -> DataFrame:
         "match_id", "player", F.col("held_from").alias("start_s"), "probe.*")
 
 
+def _held_at(merged: DataFrame, probes: DataFrame, width: float) -> DataFrame:
+    """For each probe (match_id, t, ...) one row per player whose interval covers ``t``.
+
+    A player's intervals do not overlap, so a probe finds a player in its bucket or on one level.
+    """
+    probes = probes.withColumn("b", _bucket("t", width))
+    near = _held_in_bucket(_pieces(merged, width), probes)
+    nodes = _nodes(merged, width)
+    # the levels a match has are few, most often none
+    asks = probes.join(nodes.select("match_id", "level").distinct(), "match_id").withColumn(
+        "node", F.expr("shiftright(b, level)"))
+    far = asks.join(nodes, ["match_id", "level", "node"]).select(near.columns)
+    return near.unionByName(far)
+
+
 def current_possessors(merged: DataFrame, ticks: DataFrame, width: float = BUCKET_S) -> DataFrame:
     """Players whose interval covers the tick (start <= t < end) and started last, ties kept."""
-    probes = ticks.select("match_id", "t", F.floor(F.col("t") / width).alias("b"))
-    held = _held_at(_pieces(merged, width), probes)
+    held = _held_at(merged, ticks.select("match_id", "t"), width)
     w = Window.partitionBy("match_id", "t").orderBy(F.desc("start_s"))
     return held.withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).select(
         "match_id", "t", "player", "start_s")
@@ -63,14 +101,18 @@ def possession_timeline(merged: DataFrame, players: DataFrame,
     """Elementary segments with one holder each: the interval that started last wins.
 
     Equal starts go to the roster order, then to the name. Segments end at every interval
-    border and at whole buckets, so no segment crosses one.
+    border, the next one may lie many buckets on.
     """
-    pieces = _pieces(merged, width)
-    edges = pieces.select("match_id", "b", F.explode(F.array("from_s", "to_s")).alias("t")
-                          ).distinct()
+    edges = merged.select("match_id", F.explode(F.array("start_s", "end_s")).alias("t")
+                          ).distinct().withColumn("b", _bucket("t", width))
+    firsts = edges.groupBy("match_id", "b").agg(F.min("t").alias("first"))
+    firsts = firsts.select("match_id", "b", F.lead("first").over(
+        Window.partitionBy("match_id").orderBy("b")).alias("first_after"))
     after = F.lead("t").over(Window.partitionBy("match_id", "b").orderBy("t"))
-    segments = edges.withColumn("right_s", after).where(F.col("right_s").isNotNull())
-    held = _held_at(pieces, segments).join(
+    segments = edges.withColumn("after", after).join(firsts, ["match_id", "b"]).select(
+        "match_id", "t", F.coalesce("after", "first_after").alias("right_s")
+    ).where(F.col("right_s").isNotNull())
+    held = _held_at(merged, segments, width).join(
         players.select("player", "roster_order"), "player", "left")
     rank = F.struct(F.col("start_s"), -F.coalesce("roster_order", F.lit(1 << 20)))
     ordered = held.groupBy("match_id", "t", "right_s", rank.alias("k")).agg(
@@ -83,29 +125,34 @@ def possession_timeline(merged: DataFrame, players: DataFrame,
 def _held_until(timeline: DataFrame, probes: DataFrame, width: float) -> DataFrame:
     """Seconds each player held the ball from match start to each probe (match_id, t).
 
-    Whole buckets before the probe come from per-bucket sums; the bucket of the probe is
-    summed up to it.
+    Buckets before the probe come from per-bucket sums; the bucket of the probe is summed up to
+    it. A segment counts to the bucket of its start with all its length; what of the last one
+    lies beyond the probe is taken off again.
     """
     seg = timeline.select(
-        "match_id", "player", F.floor(F.col("left_s") / width).alias("b"),
+        "match_id", "player", _bucket("left_s", width).alias("b"),
         F.col("left_s").alias("t"), (F.col("right_s") - F.col("left_s")).alias("len"), "right_s")
-    points = probes.select("match_id", "t").distinct().withColumn(
-        "b", F.floor(F.col("t") / width))
-    totals = seg.groupBy("match_id", "player", "b").agg(F.sum("len").alias("len"))
+    points = probes.select("match_id", "t").distinct().withColumn("b", _bucket("t", width))
+    totals = seg.groupBy("match_id", "player", "b").agg(
+        F.sum("len").alias("len"), F.max("right_s").alias("right_s"))
 
     # one row per (player, bucket) that has play or a probe
     players = totals.select("match_id", "player").distinct()
     grid = points.select("match_id", "b").distinct().join(players, "match_id")
     before = Window.partitionBy("match_id", "player").orderBy("b").rowsBetween(
         Window.unboundedPreceding, -1)
-    per_bucket = totals.unionByName(grid.withColumn("len", F.lit(0.0))).groupBy(
-        "match_id", "player", "b").agg(F.sum("len").alias("len")).withColumn(
-        "base", F.coalesce(F.sum("len").over(before), F.lit(0.0)))
-
-    asks = points.join(per_bucket.select("match_id", "player", "b", "base"), ["match_id", "b"])
     null = F.lit(None).cast("double")
+    per_bucket = totals.unionByName(
+        grid.withColumns({"len": F.lit(0.0), "right_s": null})).groupBy(
+        "match_id", "player", "b").agg(
+        F.sum("len").alias("len"), F.max("right_s").alias("right_s")).withColumns({
+            "base": F.coalesce(F.sum("len").over(before), F.lit(0.0)),
+            "base_right": F.max("right_s").over(before)})
+
+    asks = points.join(per_bucket.select("match_id", "player", "b", "base", "base_right"),
+                       ["match_id", "b"])
     rows = asks.select("match_id", "player", "b", "t", "base", F.lit(1).alias("is_probe"),
-                       F.lit(0.0).alias("len"), null.alias("right_s")).unionByName(
+                       F.lit(0.0).alias("len"), F.col("base_right").alias("right_s")).unionByName(
         seg.select("match_id", "player", "b", "t", null.alias("base"),
                    F.lit(0).alias("is_probe"), "len", "right_s"))
     w = Window.partitionBy("match_id", "b", "player").orderBy("t", "is_probe").rowsBetween(

@@ -301,9 +301,7 @@ CTES: dict[str, str] = {
         then 0 else 1 end as opens from pintervals))
   group by player, island""",
     "edges": """
-  select start_s as t from pmerged union select end_s from pmerged
-  union select m.t::double from range(0, 7260, 60) m(t)
-    join pmerged p on m.t > p.start_s and m.t < p.end_s""",
+  select start_s as t from pmerged union select end_s from pmerged""",
     "timeline": """
   select l as left_s, r as right_s, player from (
     select t as l, lead(t) over (order by t) as r from edges) g
