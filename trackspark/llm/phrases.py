@@ -1,12 +1,14 @@
 """Phrase collocations by vertically partitioned suffix trees.
 
 Every word of the corpus starts a suffix, which is cut after ``depth`` words, at the end of its
-piece and before a word too rare to be part of a phrase. Word prefixes are counted first; one
-that starts more suffixes than the memory budget is lengthened by a word and counted again.
+piece and where a word, or two in a row, are too rare to be part of a phrase. Prefixes of one
+and of two words are counted first; one of two that starts more suffixes than the memory budget
+is lengthened by a word and counted again.
 Prefixes are then packed into groups of about the budget, so the suffixes of a group fit in the
 memory of one task and the subtree below its prefixes is built from them alone: sorted
 suffixes are its leaves, common prefixes of neighbours its inner nodes, sums over runs of
-leaves the number of occurrences of each phrase. No group needs to know of another one.
+leaves the number of occurrences of each phrase. No group needs to know of another one; only
+the lengthened prefixes themselves, which have leaves in many groups, are summed over them.
 """
 
 from __future__ import annotations
@@ -31,10 +33,10 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 BUDGET = 1 << 20
 #: Buckets of prefixes per expected group; whole buckets are packed.
 SPREAD = 16
-#: Bits of the filter of frequent words, at most (32 MB).
+#: Bits of each filter of what is frequent, at most (32 MB).
 MOST_BITS = 1 << 28
 #: Bytes of text whose suffixes are combined before they are shuffled.
-FLUSH = 1 << 24
+FLUSH = 1 << 23
 #: Bytes of a text that are words at once.
 BLOCK = 1 << 20
 
@@ -100,45 +102,63 @@ def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+@dataclass
+class Filter:
+    """Hashes of what is frequent: that surely passes, and now and then something else."""
+
+    bits: int
+    at: np.ndarray
+
+    def passes(self, h: np.ndarray) -> np.ndarray:
+        place = (h & np.uint64(self.bits - 1)).astype(np.int64)
+        return (self.at[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
 @dataclass
 class Partition:
-    """What tasks know of the corpus: a filter of frequent words, prefixes over the budget by
-    their length, and the group of each bucket of prefixes. Only frequent words are sure to
-    pass the filter, others may; hashes that collide share a group, which does no harm.
+    """What tasks know of the corpus: filters of frequent words and pairs of words, prefixes over
+    the budget by their length from two words on, and the group of each bucket of prefixes.
+    Hashes that collide share a group or pass a filter, which does no harm.
     """
 
-    bits: int
-    frequent: np.ndarray
+    words: Filter
+    pairs: Filter | None = None
     hot: list[np.ndarray] = field(default_factory=list)
     groups: np.ndarray | None = None
 
-    def passes(self, h: np.ndarray) -> np.ndarray:
-        at = (h % np.uint64(self.bits)).astype(np.int64)
-        return (self.frequent[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
-    def suffixes(self, ids: np.ndarray, h: np.ndarray, depth: int) -> np.ndarray:
-        """(m, depth) word numbers of the cut suffixes of two words and more, -1 behind them."""
-        ok = np.r_[self.passes(h), False]  # the last stands for -1
-        ids = np.where(ok[ids], ids, -1)
-        padded = np.r_[ids, np.full(depth, -1, ids.dtype)]
-        start = np.flatnonzero((ids >= 0) & (padded[1:len(ids) + 1] >= 0))
+    def pair_hashes(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the pair at each place, and whether both are frequent words of one piece."""
+        ok = np.r_[self.words.passes(h), False][ids]  # the last stands for -1
+        h = np.r_[h, _NO_WORD][ids]
+        return _longer(h[:-1], h[1:]), ok[:-1] & ok[1:]
+
+    def suffixes(self, ids: np.ndarray, h: np.ndarray, depth: int
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """(m, depth) word numbers of the cut suffixes of two words and more, -1 behind them,
+        and the hashes of their first two words."""
+        pair, goes_on = self.pair_hashes(ids, h)
+        goes_on[goes_on] = self.pairs.passes(pair[goes_on])
+        goes_on = np.r_[goes_on, np.zeros(depth, bool)]
+        start = np.flatnonzero(goes_on)
         out = np.full((len(start), depth), -1, np.int32)
-        inside = np.ones(len(start), bool)
-        for d in range(depth):
-            word = padded[start + d]
-            inside &= word >= 0
-            out[:, d] = np.where(inside, word, -1)
-        return out
-
-    def prefixes(self, rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each suffix's prefix and whether it was lengthened by the last hot level."""
-        by_number = np.r_[h, _NO_WORD]
-        prefix, inside = by_number[rows[:, 0]], np.ones(len(rows), bool)
+        out[:, 0], inside = ids[start], np.ones(len(start), bool)
+        for d in range(1, depth):
+            inside &= goes_on[start + d - 1]
+            out[inside, d] = ids[start[inside] + d]
+        return out, pair[start]
+
+    def prefixes(self, rows: np.ndarray, pair: np.ndarray, h: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each suffix's prefix; column d tells if its first d + 1 words go on from one
+        over the budget. ``h`` are the hashes by number, the last one for no word."""
+        prefix, inside = pair, np.ones(len(rows), bool)
+        parted = np.zeros(rows.shape, bool)
         for level, known in enumerate(self.hot):
-            at = np.minimum(np.searchsorted(known, prefix), max(len(known) - 1, 0))
-            inside = inside & (known[at] == prefix if len(known) else False)
-            prefix = np.where(inside, _longer(prefix, by_number[rows[:, level + 1]]), prefix)
-        return prefix, inside
+            at = np.minimum(np.searchsorted(known, prefix), len(known) - 1)
+            inside = inside & (known[at] == prefix)
+            parted[:, level + 1] = inside
+            prefix = np.where(inside, _longer(prefix, h[rows[:, level + 2]]), prefix)
+        return prefix, parted
 
 
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, list]:
@@ -153,14 +173,22 @@ def _counted(batch: pa.RecordBatch) -> dict:
             "h": _hashes(known).view(np.int64), "f": count.astype(np.int64)}
 
 
+def _paired(batch: pa.RecordBatch, known_by) -> dict:
+    """(h, f) of the pairs of frequent words."""
+    ids, known = _rows(batch)
+    pair, both = known_by.value.pair_hashes(ids, _hashes(known))
+    pair, f = np.unique(pair[both], return_counts=True)
+    return {"h": pair.view(np.int64), "f": f.astype(np.int64)}
+
+
 def _measured(batch: pa.RecordBatch, known_by, depth: int) -> dict:
     """(h, f) of the prefixes that the last hot level lengthened."""
     partition: Partition = known_by.value
     ids, known = _rows(batch)
     h = _hashes(known)
-    rows = partition.suffixes(ids, h, depth)
-    prefix, longer = partition.prefixes(rows, h)
-    prefix, f = np.unique(prefix[longer], return_counts=True)
+    rows, pair = partition.suffixes(ids, h, depth)
+    prefix, parted = partition.prefixes(rows, pair, np.r_[h, _NO_WORD])
+    prefix, f = np.unique(prefix[parted[:, len(partition.hot)]], return_counts=True)
     return {"h": prefix.view(np.int64), "f": f.astype(np.int64)}
 
 
@@ -169,8 +197,8 @@ def _grouped(batch: pa.RecordBatch, known_by, depth: int) -> dict:
     partition: Partition = known_by.value
     ids, known = _rows(batch)
     h = _hashes(known)
-    rows = partition.suffixes(ids, h, depth)
-    prefix, _ = partition.prefixes(rows, h)
+    rows, pair = partition.suffixes(ids, h, depth)
+    prefix, _ = partition.prefixes(rows, pair, np.r_[h, _NO_WORD])
     grp = partition.groups[prefix % np.uint64(len(partition.groups))].astype(np.uint64)
     whole = prefix
     for d in range(1, depth):
@@ -183,8 +211,8 @@ def _grouped(batch: pa.RecordBatch, known_by, depth: int) -> dict:
     f = np.diff(np.r_[first, len(rows)]).astype(np.int32)
     rows, grp = rows[first], grp[first]
     out: dict = {"grp": [], "words": [], "suffixes": [], "f": []}
-    start = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]]) if len(grp) else []
-    for a, b in zip(start, [*start[1:], len(grp)], strict=True):
+    start = np.flatnonzero(np.r_[len(grp) > 0, grp[1:] != grp[:-1]]).tolist()
+    for a, b in zip(start, [*start, len(grp)][1:], strict=True):
         used, local = np.unique(rows[a:b], return_inverse=True)
         if used[0] >= 0:
             used, local = np.r_[-1, used], local + 1
@@ -200,26 +228,28 @@ def _grouped(batch: pa.RecordBatch, known_by, depth: int) -> dict:
             "f": pa.array(out["f"], pa.binary())}
 
 
-def subtree(rows: np.ndarray, f: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, int]]:
+def subtree(rows: np.ndarray, f: np.ndarray, parted: np.ndarray, least: int
+            ) -> Iterator[tuple[np.ndarray, int]]:
     """(words, occurrences) of each node from two words on that occurs ``least`` times.
 
     Rows are cut suffixes, 0 behind their end. Sorted, they are the leaves from left to right;
-    two neighbours part at the first column that differs.
+    two neighbours part at the first column that differs. Nodes whose leaves are ``parted`` among
+    groups are given with what this group has of them.
     """
     order = np.lexsort([rows[:, d] for d in range(rows.shape[1] - 1, -1, -1)])
-    rows, f = rows[order], f[order]
+    rows, f, parted = rows[order], f[order], parted[order]
     differs = np.ones(len(rows), bool)
     differs[1:] = rows[1:, 0] != rows[:-1, 0]
     for d in range(1, rows.shape[1]):
         differs[1:] |= rows[1:, d] != rows[:-1, d]
         node = np.flatnonzero(differs)
         total = np.add.reduceat(f, node) if len(node) else f
-        keep = (total >= least) & (rows[node, d] > 0)
+        keep = ((total >= least) | parted[node, d]) & (rows[node, d] > 0)
         for i, n in zip(node[keep].tolist(), total[keep].tolist(), strict=True):
             yield rows[i, :d + 1], n
 
 
-def _built(table: pa.Table, depth: int, least: int) -> pa.Table:
+def _built(table: pa.Table, known_by, depth: int, least: int) -> pa.Table:
     """Phrases of one group."""
     number: dict[bytes, int] = {b"": 0}
     rows, counts = [], []
@@ -230,8 +260,11 @@ def _built(table: pa.Table, depth: int, least: int) -> pa.Table:
         rows.append(place[np.frombuffer(suffixes, kind)].reshape(-1, depth))
         counts.append(np.frombuffer(f, np.int32).astype(np.int64))
     by_number = list(number)
+    suffixes = np.concatenate(rows)
+    h = np.r_[_NO_WORD, _hashes([tuple(k.rsplit(b"\n", 1)) for k in by_number[1:]])]
+    _, parted = known_by.value.prefixes(suffixes, _longer(h[suffixes[:, 0]], h[suffixes[:, 1]]), h)
     out = [[], [], [], []]
-    for ids, n in subtree(np.concatenate(rows), np.concatenate(counts), least):
+    for ids, n in subtree(suffixes, np.concatenate(counts), parted, least):
         both = [by_number[i].rsplit(b"\n", 1) for i in ids.tolist() if i]
         for column, value in zip(out, (both[0][0], b" ".join(w for _, w in both), len(both), n),
                                  strict=True):
@@ -251,8 +284,8 @@ def _packed(sizes: np.ndarray, budget: int) -> np.ndarray:
     return out
 
 
-def _filter_of(frequent: DataFrame) -> tuple[int, np.ndarray]:
-    """Bits set at the hashes of frequent words; at most MOST_BITS, whatever their number."""
+def _filter_of(frequent: DataFrame) -> Filter:
+    """Bits set at the hashes ``h``; at most MOST_BITS, whatever their number."""
     bits = 1 << 16
     while bits < MOST_BITS and bits < 16 * frequent.count():
         bits <<= 1
@@ -263,28 +296,34 @@ def _filter_of(frequent: DataFrame) -> tuple[int, np.ndarray]:
     for r in parts:
         at = (r["part"] - 1) * 4096
         out[at:at + 4096] = np.frombuffer(r["bits"], np.uint8)
-    return bits, out
+    return Filter(bits, out)
 
 
-def partitioned(texts: DataFrame, frequent: DataFrame, depth: int, budget: int) -> Partition:
+def partitioned(texts: DataFrame, frequent: DataFrame, least: int, depth: int, budget: int
+                ) -> Partition:
     """Vertical partition: prefixes within the budget, packed into groups.
 
     The driver gets hashes of prefixes over the budget, fewer than the corpus has budgets, and
     the sizes of SPREAD buckets for each budget.
     """
-    session = texts.sparkSession
-    out = Partition(*_filter_of(frequent))
-    sizes = frequent.select("h", "f")
+    share = texts.sparkSession.sparkContext.broadcast
+    out = Partition(_filter_of(frequent))
+
+    def counted(task, name: str, at_least: int) -> DataFrame:
+        found = map_rows(texts, "h long, f long", task, FLUSH).groupBy("h").agg(
+            F.sum("f").alias("f"))
+        return materialise(found.where(F.col("f") >= at_least), name)
+
+    sizes = counted(partial(_paired, known_by=share(out)), "pairs", least)
+    out.pairs = _filter_of(sizes)
     parts = []
-    for _ in range(depth - 1):
+    for _ in range(depth - 2):
         hot = sizes.where(F.col("f") > budget).select("h").toArrow().column("h")
         parts.append(sizes.where(F.col("f") <= budget))
         if not len(hot):
             break
         out.hot.append(np.sort(hot.to_numpy().view(np.uint64)))
-        found = map_rows(texts, "h long, f long", partial(
-            _measured, known_by=session.sparkContext.broadcast(out), depth=depth), FLUSH)
-        sizes = materialise(found.groupBy("h").agg(F.sum("f").alias("f")), "prefixes")
+        sizes = counted(partial(_measured, known_by=share(out), depth=depth), "prefixes", 1)
     else:
         parts.append(sizes)  # whole suffixes: equal ones are combined, so they need no budget
     kept = parts[0]
@@ -312,16 +351,19 @@ def frequencies(docs: DataFrame, least: int, depth: int, budget: int, text: str,
     words = map_rows(texts, "lang binary, word binary, h long, f long", _counted, FLUSH)
     words = materialise(words.groupBy("lang", "word", "h").agg(F.sum("f").alias("f")), "words")
     frequent = words.where(F.col("f") >= least)
-    partition = partitioned(texts, frequent, depth, budget)
+    partition = partitioned(texts, frequent, least, depth, budget)
     known_by = texts.sparkSession.sparkContext.broadcast(partition)
     groups = map_rows(texts, "grp int, words array<binary>, suffixes binary, f binary",
                       partial(_grouped, known_by=known_by, depth=depth), FLUSH)
 
     def built(table: pa.Table) -> pa.Table:
-        return _built(table, depth, least)
+        return _built(table, known_by, depth, least)
 
     found = groups.groupBy("grp").applyInArrow(
         built, "lang binary, phrase binary, words int, f long")
+    # prefixes over the budget have leaves in many groups
+    found = found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(
+        F.col("f") >= least)
     one = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f")
     both = one.unionByName(found).select(
         F.col("lang").cast("string"), F.col("phrase").cast("string"), "words", "f")
