@@ -244,6 +244,7 @@ def test_pieces_find_each_shared_end_once(piece):
 
 
 def test_parts_encode_as_the_whole_text(pair):
+    assert pair.divisible and pair.parts("a b  c d\te") == ["a", "b  c", "d\te"]
     for text in [*ODD, *[t for t in texts() if t]]:
         one = align.aligned(pair, pair.parts(text), piece=50)
         ids = pair.a.encode(" " + text, add_special_tokens=False).ids

@@ -6,8 +6,8 @@ equal length, each of which is merged without knowledge of the others, wherever
 and the next begins. A piece gives the ends both lists hold; an end that a cut divides is put
 together afterwards. Ends that both hold cut the tokens into groups.
 
-Neither vocabulary has a token that holds a space behind another character, so a text may be
-cut at single spaces between others and each part encoded alone. Each different part of a
+Neither vocabulary has a token that holds a space behind a character that is none, so a text may
+be cut at single spaces between such characters and each part encoded alone. Each different part of a
 batch is encoded, merged and written once, whatever its number of copies.
 """
 
@@ -17,6 +17,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +34,9 @@ PIECE = 1 << 16
 #: Pairs whose counts are sent to all tasks, the most frequent ones (16 bytes each).
 MOST_PAIRS = 1 << 21
 #: Bytes of text whose parts are told apart at once.
-FLUSH = 1 << 24
+FLUSH = 1 << 23
+#: Parts that are encoded at once, and parts whose tokens a task remembers.
+ENCODE, REMEMBERED = 1 << 12, 1 << 18
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -65,16 +68,31 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p))
                         else p.replace("▁", " ").encode() for p in pieces]
+        # a token may hold a space behind other white space, where no text is cut
+        self.known: dict[str, tuple[array, array] | None] = {}
         self.divisible = (not any("▁" in p.lstrip("▁") for p in pieces)
-                          and not any(b" " in t.lstrip(b" ") for t in self.bytes_a))
+                          and not any(re.search(r"\S ", t.decode(errors="replace"))
+                                  for t in self.bytes_a))
 
     def parts(self, text: str) -> list[str]:
         """The text between the single spaces that no token spans."""
         return _CUT.split(text) if self.divisible else [text]
 
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        return [e.ids for e in a], self.b.encode(parts, num_threads=1)
+    def encode(self, parts: list[str]) -> list[tuple[array, array] | None]:
+        """Both tokenizers' ids; none where one does not give back the bytes."""
+        new = [p for p in parts if p not in self.known]
+        out = {}
+        if new:
+            a = self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
+            for part, one, ys in zip(new, a, self.b.encode(new, num_threads=1), strict=True):
+                xs, own = one.ids, b" " + part.encode()
+                same = (b"".join([self.bytes_a[x] for x in xs]) == own
+                        and b"".join([self.bytes_b[y] for y in ys]) == own)
+                out[part] = (array("i", xs), array("i", ys)) if same else None
+        found = [out[p] if p in out else self.known[p] for p in parts]
+        if len(self.known) < REMEMBERED:
+            self.known |= out
+        return found
 
 
 def merge_path(a: np.ndarray, b: np.ndarray, piece: int) -> np.ndarray:
@@ -154,21 +172,17 @@ class Aligned:
 
 def aligned(pair: Pair, parts: list[str], piece: int = PIECE) -> Aligned:
     """Encode and merge the given parts."""
-    ids_a, ids_b = pair.encode(parts) if parts else ([], [])
-    a_bytes, b_bytes = pair.bytes_a, pair.bytes_b
     n_a, n_b = np.full(len(parts), -1, np.int64), np.full(len(parts), -1, np.int64)
-    good_a: list[int] = []
-    good_b: list[int] = []
-    for k, (part, xs, ys) in enumerate(zip(parts, ids_a, ids_b, strict=True)):
-        own = b" " + part.encode()
-        if (b"".join([a_bytes[x] for x in xs]) == own
-                and b"".join([b_bytes[y] for y in ys]) == own):
-            n_a[k], n_b[k] = len(xs), len(ys)
-            good_a += xs
-            good_b += ys
+    good_a, good_b = array("i"), array("i")
+    for at in range(0, len(parts), ENCODE):
+        for k, tokens in enumerate(pair.encode(parts[at:at + ENCODE]), at):
+            if tokens is not None:
+                n_a[k], n_b[k] = map(len, tokens)
+                good_a.extend(tokens[0])
+                good_b.extend(tokens[1])
     ids = np.array(good_a, np.int64), np.array(good_b, np.int64)
     ends = [np.cumsum(np.fromiter(map(len, table), np.int64, len(table))[i])
-            for table, i in zip((a_bytes, b_bytes), ids, strict=True)]
+            for table, i in zip((pair.bytes_a, pair.bytes_b), ids, strict=True)]
     shared = shared_ends(*ends, piece)
     part = np.searchsorted(np.cumsum(np.maximum(n_a, 0)), shared[:, 0], "right")
     return Aligned(n_a, n_b, part, ids[0][shared[:, 0]], ids[1][shared[:, 1]], ids, shared)
