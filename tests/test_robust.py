@@ -1,4 +1,4 @@
-"""Extra time, order of the chunk feed, texts beyond the range of a number."""
+"""Extra time, texts beyond the range of a number."""
 
 import os
 
@@ -9,7 +9,6 @@ from trackspark.functions import times
 from trackspark.operators import snapshot
 from trackspark.operators.ticks import minute_ticks
 from trackspark.plans import fixtures
-from trackspark.sources import readers, sinks
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -52,25 +51,6 @@ def test_minute_ticks_of_matches_of_different_length(spark):
     assert got == [(1, 60.0), (1, 120.0), (1, 130.0), (2, 50.0)]
 
 
-def test_ordered_chunk_feed_loses_nothing(spark, tmp_path):
-    rows = fixtures.positions(spark, SF_DIR).where("matchSecond < 600").withColumn(
-        "chunkId", F.floor(F.col("matchSecond") / 20).cast("int"))
-    schema = rows.drop("chunkId").schema.add("chunkId", "integer")
-    sinks.write_chunks(rows.repartition(4), f"{tmp_path}/chunks")
-    assert sinks.order_chunks(spark, f"{tmp_path}/chunks") >= 30
-    stream = readers.read_position_stream(spark, f"{tmp_path}/chunks", schema=schema)
-    timed = stream.withColumn("event_time", F.timestamp_seconds("matchSecond"))
-    counted = timed.withWatermark("event_time", "5 seconds").groupBy(
-        F.window("event_time", "1 minute")).count()
-    query = (counted.writeStream.format("noop").outputMode("update")
-             .option("checkpointLocation", f"{tmp_path}/state").start())
-    query.processAllAvailable()
-    dropped = [s["numRowsDroppedByWatermark"] for p in query.recentProgress
-               for s in p["stateOperators"]]
-    query.stop()
-    assert len(query.recentProgress) >= 30 and sum(dropped) == 0
-
-
 def test_run_folder_takes_its_tables_along(spark):
     with session.run_folder(spark) as outer:
         with session.run_folder(spark) as inner:

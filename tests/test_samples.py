@@ -2,7 +2,6 @@
 
 import math
 from dataclasses import replace
-from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,7 +116,6 @@ def test_storage_keeps_two_matches_apart(spark, tmp_path):
         got = {r.match_id: r["count"] for r in back.groupBy("match_id").count().collect()}
         assert got == {1: 3, 2: 6}
     assert readers.read_chunks(spark, str(tmp_path / "k"), 1, 2, 2).count() == 2
-    assert sinks.order_chunks(spark, str(tmp_path / "k")) >= 9
 
 
 def test_chunks_prune_and_list_in_order(spark, tmp_path):
@@ -137,7 +135,11 @@ def test_chunks_prune_and_list_in_order(spark, tmp_path):
 def test_one_hot_chunk_is_spread_over_tasks(spark, tmp_path):
     rows = [(1, 13, S1 + i * 1000, 0, 0, 0) for i in range(4000)]
     chunked = clean.with_chunk_id(clean.clean_samples(raw(spark, rows))).drop("match_id")
-    sinks.write_chunks(chunked, str(tmp_path / "h"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        sinks.write_chunks(chunked, str(tmp_path / "h"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = list((tmp_path / "h" / "chunkId=0").glob("*.parquet"))
     assert len(files) > 1
     assert readers.read_chunks(spark, str(tmp_path / "h")).count() == 4000
@@ -212,39 +214,3 @@ def test_zmax_is_the_indexed_value(spark, n):
 def test_bad_grid_settings_raise(spark, bad):
     with pytest.raises(ValueError):
         heatmap.heatmap_cells(positions(spark, [(0.0, 0.0)]), replace(MATCH, **bad))
-
-
-@pytest.mark.parametrize("keeps", [True, False])
-def test_chunk_order_is_read_back(keeps):
-    times = {f"/c/chunkId={i}/a.parquet": 5000 - i for i in range(3)}
-
-    class File(str):
-        def getParent(self):
-            return SimpleNamespace(getName=lambda: self.split("/")[2])
-
-        def toString(self):
-            return str(self)
-
-    def listed(glob):
-        return [SimpleNamespace(getPath=lambda p=p: File(p), getModificationTime=lambda p=p: times[p])
-                for p in times if not glob[-1].startswith("match_id")]
-
-    store = SimpleNamespace(globStatus=listed, setTimes=lambda f, at, _: (
-        times.update({str(f): at}) if keeps else None))
-
-    class Path(tuple):
-        def __new__(cls, *parts):
-            return tuple.__new__(cls, parts)
-
-        def getFileSystem(self, _):
-            return store
-
-    jvm = SimpleNamespace(
-        org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(Path=Path)))),
-        java=None, System=SimpleNamespace(currentTimeMillis=lambda: 10**6))
-    spark = SimpleNamespace(_jvm=jvm, _jsc=SimpleNamespace(hadoopConfiguration=lambda: None))
-    if keeps:
-        assert sinks.order_chunks(spark, "/c") == 3
-    else:
-        with pytest.raises(RuntimeError, match="does not keep file times"):
-            sinks.order_chunks(spark, "/c")

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackspark.config import CLEAN_SCHEMA, POSITION_SCHEMA
-from trackspark.operators import clean, heatmap, running, snapshot, tactics
-from trackspark.sources import readers, sinks
+from trackspark.operators import clean, heatmap, running, snapshot
+from trackspark.sources import batchlog, readers, sinks
 from trackspark.streaming import live, pipeline
 
 SCHEMA = "match_id int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}"
@@ -58,7 +58,7 @@ def test_running_stats(spark, tmp_path, batches):
     for part in parts:
         feed.add(part)
     keys = ["match_id", "sid", "intensity", "window_start_s"]
-    got = sinks.read_batch_log(spark, feed.log, keys)
+    got = batchlog.read_batch_log(spark, feed.log, keys)
     whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
     cols = (*keys, "distance_1m", "ping_count", "time_1m")
     assert rows(got, *cols) == rows(running.running_stats(whole), *cols)
@@ -78,7 +78,7 @@ def test_latest_never_goes_back(spark, tmp_path, batches):
     feed = Feed(spark, tmp_path, pipeline.latest_stream)
     for part in (parts[2], parts[0], parts[1]):
         feed.add(part)
-    got = sinks.read_batch_log(spark, feed.log, ["match_id", "sid"])
+    got = batchlog.read_batch_log(spark, feed.log, ["match_id", "sid"])
     cols = ("match_id", "sid", "ts", "x", "matchSecond")
     assert rows(got, *cols) == rows(snapshot.latest_positions(whole), *cols)
 
@@ -89,7 +89,7 @@ def test_heatmap_cells(spark, tmp_path, batches):
     for part in parts:
         feed.add(part)
     keys = ["match_id", "sid", "grid_row", "grid_col"]
-    got = sinks.read_batch_log(spark, feed.log, keys)
+    got = batchlog.read_batch_log(spark, feed.log, keys)
     assert rows(got, *keys, "n") == rows(heatmap.heatmap_cells(whole), *keys, "n")
 
 
@@ -99,7 +99,7 @@ def test_rolling_from_second_log(spark, tmp_path):
     for part in parts:
         feed.add(part)
     keys = ["match_id", "sid", "intensity", "second"]
-    got = running.rolling_frames(sinks.read_batch_log(spark, feed.log, keys))
+    got = running.rolling_frames(batchlog.read_batch_log(spark, feed.log, keys))
     want = running.rolling_stats(parts[0].unionByName(parts[1]))
     assert rows(got, *keys, "distance", "time_s") == rows(want, *keys, "distance", "time_s")
 
@@ -115,28 +115,6 @@ def test_sliding_window_stream_agrees_where_it_has_emitted(spark, tmp_path):
     assert want and all(got[r[:4]] == pytest.approx(r[4:]) for r in want)
 
 
-def momentum_rows(spark, low, high, seed):
-    rng = random.Random(seed)
-    data = []
-    for m in (1, 2):
-        for tick in range(low, high):
-            a = round(rng.uniform(0, 100), 1)
-            data.append((m, tick, tick + 0.5, a, round(100 - a, 1)))
-    return spark.createDataFrame(
-        data, "match_id int, tick int, current_second double, momentum_a double, momentum_b double")
-
-
-def test_momentum_over_batches_equals_batch(spark, tmp_path):
-    parts = [momentum_rows(spark, 0, 40, 1), momentum_rows(spark, 40, 90, 2)]
-    feed = Feed(spark, tmp_path, pipeline.momentum_stream, "append", parts[0].schema)
-    for part in parts:
-        feed.add(part)
-    feed.add(parts[0])  # a replay of old ticks changes nothing
-    cols = ("match_id", "tick", "current_second", "momentum_a", "momentum_b")
-    want = tactics.momentum_smoothed(parts[0].unionByName(parts[1]))
-    assert rows(spark.read.parquet(feed.log), *cols) == rows(want, *cols)
-
-
 def test_due_events_once_each(spark, tmp_path):
     events = spark.createDataFrame(
         [(1, 5.0, "a"), (1, 30.0, "b"), (1, 75.0, "c"), (1, 500.0, "d"), (2, 10.0, "e")],
@@ -203,8 +181,7 @@ def test_live_view_equals_batch(spark, tmp_path):
     for part in parts:
         part.coalesce(1).write.mode("append").parquet(source)
         stream = readers.read_position_stream(spark, source, schema=SCHEMA)
-        for q in live.start_live(stream, out, check, trigger=None):
-            q.awaitTermination()
+        live.start_live(stream, out, check, trigger=None).awaitTermination()
     whole = parts[0].unionByName(parts[1])
     docs, stats = live.live_documents(spark, out)
     got = docs.select("match_id", "batchId", "currentMatchSecond", F.inline("positions"))
@@ -235,7 +212,7 @@ def test_stream_reads_the_chunk_folders(spark, tmp_path):
                               str(tmp_path / "check"))
     feed.awaitTermination()
     assert len(feed.recentProgress) > 1  # one chunk file per batch
-    got = sinks.read_batch_log(spark, str(tmp_path / "log"), ["match_id", "sid"])
+    got = batchlog.read_batch_log(spark, str(tmp_path / "log"), ["match_id", "sid"])
     cols = ("sid", "ts", "matchSecond")
     want = snapshot.latest_positions(part.withColumn("match_id", F.lit(1)))
     assert rows(got, *cols) == rows(want, *cols)
@@ -245,3 +222,22 @@ def test_empty_source_folder_starts(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = readers.read_position_stream(spark, str(tmp_path / "in"))
     assert stream.columns[-1] == "chunkId" and stream.isStreaming
+
+
+def test_log_reads_follow_the_keys_not_the_batches(spark, tmp_path):
+    path, want = str(tmp_path / "log"), {}
+    write = batchlog.batch_log(path, keys=["k"], every=4)
+    for n in range(19):
+        rows_ = [(k, 100 * n + k) for k in {n % 3, n % 5, 7 if n == 2 else 0}]
+        want |= dict(rows_)
+        write(spark.createDataFrame(rows_, "k int, v int"), n)
+        if n == 9:  # a retried batch replaces itself
+            write(spark.createDataFrame(rows_, "k int, v int"), n)
+        got = {r.k: r.v for r in batchlog.read_batch_log(spark, path, ["k"]).collect()}
+        assert got == want
+    assert len(batchlog._numbers(spark, path, "batch_id")) <= 8
+    assert batchlog._bases(spark, path) == [11, 15] and batchlog.newest_batch(spark, path) == 18
+    torn = tmp_path / "log" / "_base" / "upto=18"  # a base without its marker does not count
+    torn.mkdir()
+    assert {r.k: r.v for r in batchlog.read_batch_log(spark, path, ["k"]).collect()} == want
+    assert {r.k for r in batchlog.read_batch_log(spark, path, ["k"], {"v": 207}).collect()} == {7}

@@ -272,30 +272,6 @@ def momentum_smoothed(raw: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     return narrow.groupBy("match_id").applyInPandas(smooth, narrow.schema)
 
 
-def momentum_state_step(alpha: float) -> Callable:
-    """Streaming form of one match: state is the last tick, its second and the values."""
-    step = smoother(alpha)
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last_tick, last_second, a, b = state.get if state.exists else (-1, None, None, None)
-        current = None if a is None else (a, b)
-        rows = pd.concat(list(batches)).sort_values("tick")
-        out = []
-        for tick, second, *pair in zip(rows["tick"], rows["current_second"],
-                                       rows["momentum_a"], rows["momentum_b"]):
-            if tick <= last_tick or pd.isna(second) or second == last_second:
-                continue
-            current = step(current, tuple(pair))
-            last_tick, last_second = int(tick), float(second)
-            out.append((key[0], last_tick, last_second, *current))
-        if current is not None:
-            state.update((last_tick, last_second, *current))
-        yield pd.DataFrame(out, columns=["match_id", "tick", "current_second",
-                                         "momentum_a", "momentum_b"])
-
-    return update
-
-
 def statistics_history(raw: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     """Newest changed ticks with pressure, smoothed momentum and compactness."""
     smoothed = momentum_smoothed(raw, cfg).select("match_id", "tick", "momentum_a", "momentum_b")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark import dims
-from trackspark.config import MATCH, MATCH_CHUNKED_SCHEMA, RAW_SCHEMA
+from trackspark.config import MATCH, RAW_SCHEMA
 from trackspark.functions.pitch import pitch_x, pitch_y
 from trackspark.functions.text import short_label
 from trackspark.operators import (
@@ -24,8 +24,8 @@ from trackspark.operators import (
 from trackspark.operators.ticks import minute_ticks
 from trackspark.plans import fixtures as fx
 from trackspark.session import materialise, work_dir
-from trackspark.sources import readers, sinks
-from trackspark.streaming import pipeline
+from trackspark.sources import batchlog, chunks, readers, sinks
+from trackspark.streaming import live, pipeline, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,19 +123,19 @@ def clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_chunks(spark: SparkSession, sf_dir: str) -> str:
     path = work_dir(spark, "chunks")
-    sinks.write_chunks(clean.with_chunk_id(fx.clean(spark, sf_dir)), path)
+    chunks.write_indexed_chunks(clean.with_chunk_id(fx.clean(spark, sf_dir)), path)
     return path
 
 
 @query
 def chunk_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.chunk_row_counts(readers.read_chunks(spark, _written_chunks(spark, sf_dir)))
+    return chunks.indexed_row_counts(spark, _written_chunks(spark, sf_dir))
 
 
 @query
 def chunk_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     second_half = int(MATCH.second_half_offset_s)
-    return readers.read_chunks(
+    return chunks.read_indexed_chunks(
         spark, _written_chunks(spark, sf_dir), second_half, MATCH.last_tick, fx.MATCH_ID
     ).select("match_id", "chunkId", "sid", "ts", "x", "y", "half", r9("matchSecond"))
 
@@ -576,27 +576,56 @@ def _drain(spark: SparkSession, stream: DataFrame, name: str, mode: str = "updat
 def stream_running_stats_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = pipeline.running_stats_stream(fx.position_stream(spark, sf_dir))
     log = _drain(spark, stream, "stream-stats")
-    return _stats_columns(sinks.read_batch_log(
+    return _stats_columns(batchlog.read_batch_log(
         spark, log, ["match_id", "sid", "intensity", "window_start_s"]))
 
 
+def _feed_log(spark: SparkSession, path: str, out: str, step: int, last: int | None = None) -> str:
+    """Running statistics of the chunk feed up to ``last``; called again, it goes on from there."""
+    feed = chunks.read_chunk_feed(spark, path, step, f"{out}/position", last)
+    valid = clean.position_columns(clean.valid_positions(feed), ("match_id",))
+    query = pipeline.start_log(pipeline.running_stats_stream(valid), f"{out}/log",
+                               f"{out}/checkpoint", trigger="0 seconds")
+    pipeline.drain(query)
+    return f"{out}/log"
+
+
+STATS_KEY = ["match_id", "sid", "intensity", "window_start_s"]
+
+
 @query
 def stream_running_stats_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunk feed over many triggers: in chunk order, nothing is too late."""
     path = _written_chunks(spark, sf_dir)
-    sinks.order_chunks(spark, path)
-    feed = readers.read_position_stream(spark, path, 450, MATCH_CHUNKED_SCHEMA)
-    valid = clean.position_columns(clean.valid_positions(feed), ("match_id",))
-    log = _drain(spark, pipeline.running_stats_stream(valid), "stream-chunks")
-    return _stats_columns(sinks.read_batch_log(
-        spark, log, ["match_id", "sid", "intensity", "window_start_s"]))
+    log = _feed_log(spark, path, work_dir(spark, "stream-chunks"), 450)
+    return _stats_columns(batchlog.read_batch_log(spark, log, STATS_KEY))
+
+
+@query
+def stream_resumed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed, stopped in the first half and started again from its checkpoint."""
+    path, out = _written_chunks(spark, sf_dir), work_dir(spark, "stream-resumed")
+    _feed_log(spark, path, out, 600, last=1500)
+    log = _feed_log(spark, path, out, 600)
+    return _stats_columns(batchlog.read_batch_log(spark, log, STATS_KEY))
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the samples comes three minutes late: closed windows do not take them."""
+    path, out = work_dir(spark, "late-chunks"), work_dir(spark, "stream-late")
+    rows = clean.with_chunk_id(fx.clean(spark, sf_dir))
+    late = F.when(F.col("event_id") % 7 == 0, 180).otherwise(0)
+    chunks.write_indexed_chunks(rows.withColumn("chunkId", F.col("chunkId") + late), path)
+    return _stats_columns(batchlog.read_batch_log(
+        spark, _feed_log(spark, path, out, 450), STATS_KEY))
 
 
 @query
 def stream_rolling_stats_60s(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = pipeline.second_stats_stream(fx.position_stream(spark, sf_dir))
     log = _drain(spark, stream, "stream-seconds")
-    seconds = sinks.read_batch_log(spark, log, ["match_id", "sid", "intensity", "second"])
+    seconds = batchlog.read_batch_log(spark, log, ["match_id", "sid", "intensity", "second"])
     return running.rolling_frames(seconds).select(
         "match_id", "sid", "intensity", "second", r6("distance"), r6("time_s"))
 
@@ -605,7 +634,7 @@ def stream_rolling_stats_60s(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = pipeline.latest_stream(fx.position_stream(spark, sf_dir), fx.TIE)
     log = _drain(spark, stream, "stream-latest")
-    return sinks.read_batch_log(spark, log, ["match_id", "sid"]).select(
+    return batchlog.read_batch_log(spark, log, ["match_id", "sid"]).select(
         "match_id", "sid", "ts", "x", "y", "z", "half", r9("matchSecond"), r9("speed_kmh"))
 
 
@@ -613,19 +642,44 @@ def stream_latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_heatmap_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     players = clean.without_balls(fx.position_stream(spark, sf_dir))
     log = _drain(spark, pipeline.heatmap_stream(players), "stream-heat")
-    return sinks.read_batch_log(spark, log, ["match_id", "sid", "grid_row", "grid_col"])
+    return batchlog.read_batch_log(spark, log, ["match_id", "sid", "grid_row", "grid_col"])
 
 
 @query
 def stream_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_dir(spark, "momentum-input")
-    tactics.momentum_raw(_state(spark, sf_dir)).write.parquet(path)
-    raw = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    log = _drain(spark, pipeline.momentum_stream(raw), "stream-momentum", "append")
-    return spark.read.parquet(log).select(
+    """Five runs of one query, each from the checkpoint of the one before."""
+    path, out = work_dir(spark, "momentum-input"), work_dir(spark, "stream-momentum")
+    whole = materialise(tactics.momentum_raw(_state(spark, sf_dir)), "momentum-raw")
+    step = MATCH.last_tick // 5 + 1
+    for part in range(5):
+        whole.where(F.floor(F.col("tick") / step) == part).write.mode("append").parquet(path)
+        raw = spark.readStream.schema(whole.schema).parquet(path)
+        with stateful.state_store(spark):
+            pipeline.start_log(stateful.momentum_stream(raw), f"{out}/log", f"{out}/checkpoint",
+                               "append").awaitTermination()
+    return spark.read.parquet(f"{out}/log").select(
         "match_id", "tick", r9("current_second"), "momentum_a", "momentum_b")
 
 
+def _live_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """One of the tables that one query over one scan of the chunk feed gives."""
+    path, out = _written_chunks(spark, sf_dir), work_dir(spark, "stream-live")
+    feed = chunks.read_chunk_feed(spark, path, 900, f"{out}/position")
+    valid = clean.position_columns(clean.valid_positions(feed), ("match_id",))
+    pipeline.drain(live.start_live(valid, f"{out}/log", f"{out}/checkpoint", "0 seconds"))
+    return live.live_tables(spark, f"{out}/log")[kind]
+
+
+@query
+def stream_live_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _live_table(spark, sf_dir, "heatmap")
+
+
+@query
+def stream_live_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats_columns(_live_table(spark, sf_dir, "stats"))
+
+
 @query
 def stream_due_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "stream-due")

@@ -590,6 +590,20 @@ BODIES: dict[str, str] = {
     from stats_latest group by sid) d using (sid)""",
     "stream_running_stats_1m": _STATS,
     "stream_running_stats_chunks": _STATS,
+    "stream_resumed_chunks": _STATS,
+    "stream_live_stats": _STATS,
+    "stream_live_heatmap": _CELLS,
+    "stream_late_rows": """select 1 as match_id, sid, intensity, window_start_s,
+  round(sum(metres),6) as distance_1m, count(*) as ping_count,
+  round(count(*) * 0.005::double,6) as time_1m
+  from (select *, max(newest) over (order by batch range between unbounded preceding
+      and 2 preceding) as seen
+    from (select *, dense_rank() over (order by step) as batch,
+        max(floor(ms * 1000)) over (partition by step) as newest
+      from (select *, floor(ms / 60)::bigint * 60 as window_start_s,
+          floor((floor(ms) + case when event_id % 7 = 0 then 180 else 0 end) / 450) as step
+        from zoned)))
+  where seen is null or (window_start_s + 60) * 1000 > seen - 5000 group by all""",
     "stream_rolling_stats_60s": _ROLLING,
     "stream_latest_positions": _LATEST,
     "stream_heatmap_cells": _CELLS,

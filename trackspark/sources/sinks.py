@@ -1,10 +1,8 @@
-"""Sinks: sample tables, state documents and keyed batch logs."""
+"""Sinks: sample tables and state documents."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.config import CLEAN_SCHEMA, MATCH, RAW_SCHEMA, MatchConfig
@@ -14,60 +12,29 @@ def write_raw_csv(raw: DataFrame, path: str) -> None:
     raw.select(*RAW_SCHEMA.names).write.mode("overwrite").option("header", False).csv(path)
 
 
-def _match_key(df: DataFrame) -> list[str]:
+def match_key(df: DataFrame) -> list[str]:
+    """``match_id`` where the rows have one."""
     return [c for c in df.columns if c == "match_id"]
 
 
 def write_clean_csv(clean: DataFrame, path: str) -> None:
     """CSV with a header; rows with a ``match_id`` go to one folder per match."""
-    match = _match_key(clean)
+    match = match_key(clean)
     clean.select(*CLEAN_SCHEMA.names, *match).write.mode("overwrite").option(
         "header", True).partitionBy(*match).csv(path)
 
 
 def write_chunks(chunked: DataFrame, path: str) -> None:
-    """Parquet by ``chunkId``, below ``match_id`` if there is one: one file per chunk, more only
-    where a chunk spans tasks.
+    """Parquet by ``chunkId``, below ``match_id`` if there is one: the plain layout of folders.
 
-    Tasks are cut by range over (match, chunk, time, sensor), so they hold about equal amounts of
-    rows even when one chunk has most of them.
+    Tasks are cut and joined by the advisory partition size, so a chunk with most of the rows spans
+    several files. ``chunks.write_indexed_chunks`` is the layout for long matches.
     """
-    folders = [*_match_key(chunked), "chunkId"]
-    tasks = int(chunked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunked.repartitionByRange(tasks, *folders, "ts", "sid").write.mode("overwrite").partitionBy(
+    folders = [*match_key(chunked), "chunkId"]
+    chunked.hint("rebalance", *[F.col(c) for c in folders]).write.mode("overwrite").partitionBy(
         *folders).parquet(path)
 
 
-def order_chunks(spark: SparkSession, path: str) -> int:
-    """Give the files of a chunk folder times in chunk order; returns the number of files.
-
-    Parallel tasks finish chunks in any order, and a file stream takes files by their time, so
-    without this a watermark drops chunks that come too late. Times are one second apart and lie
-    in the past; chunks of several matches alternate. Only names and times pass through the
-    driver. The store must keep file times that are set (local and HDFS do); where the times
-    read back are not in chunk order, this raises, since the stream would lose chunks.
-    """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def listed() -> list[tuple]:
-        return sorted(((int(f.getPath().getParent().getName().split("=")[1]),
-                        f.getPath().toString(), f.getPath(), f.getModificationTime())
-                       for below in ("chunkId=*/*.parquet", "match_id=*/chunkId=*/*.parquet")
-                       for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, below))),
-                      key=lambda f: f[:2])
-
-    files = listed()
-    newest = spark._jvm.System.currentTimeMillis()
-    for place, (_, _, file, _) in enumerate(files):
-        fs.setTimes(file, newest - 1000 * (len(files) - place), -1)
-    times = [f[3] for f in listed()]
-    if len(times) != len(files) or any(a >= b for a, b in zip(times, times[1:], strict=False)):
-        raise RuntimeError(f"{path}: the store does not keep file times, so a file stream would "
-                           "take chunks out of order and drop late ones")
-    return len(files)
-
-
 def positions_documents(latest: DataFrame, grids: DataFrame | None = None,
                         batch_id: int = 0, cfg: MatchConfig = MATCH) -> DataFrame:
     """One state document per match; a document holds one entry per sensor."""
@@ -98,22 +65,3 @@ def stats_documents(stats: DataFrame, batch_id: int = 0) -> DataFrame:
 
 def write_documents(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").option("ignoreNullFields", False).json(path)
-
-
-def batch_log(path: str, shape: Callable[[DataFrame], DataFrame] | None = None
-              ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer: each batch owns one folder, so a retried batch replaces itself."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch if shape is None else shape(batch)
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
-def read_batch_log(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest version of every key from a batch log."""
-    log = spark.read.parquet(path)
-    values: list[Column] = [F.col(c) for c in log.columns if c not in (*keys, "batch_id")]
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v")).select(
-        *keys, "v.*")

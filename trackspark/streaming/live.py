@@ -1,59 +1,45 @@
-"""The live view: three concurrent queries and the state documents built from their logs."""
+"""The live view: one query over one scan, and the state documents built from its log."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trackspark.config import MATCH, MatchConfig
-from trackspark.operators.clean import without_balls
 from trackspark.operators.heatmap import dense_grid, smooth
 from trackspark.operators.running import latest_stats
-from trackspark.sources.sinks import positions_documents, read_batch_log, stats_documents
-from trackspark.streaming.pipeline import (
-    heatmap_stream,
-    latest_stream,
-    running_stats_stream,
-    start_log,
-)
+from trackspark.sources.batchlog import newest_batch, read_batch_log
+from trackspark.sources.sinks import positions_documents, stats_documents
+from trackspark.streaming.pipeline import start_log
+from trackspark.streaming.stateful import KINDS, live_stream, state_store
 
-KEYS = {
-    "positions": ["match_id", "sid"],
-    "heatmap": ["match_id", "sid", "grid_row", "grid_col"],
-    "stats": ["match_id", "sid", "intensity", "window_start_s"],
-}
+
+LOG_KEYS = ["kind", *dict.fromkeys(key for keys, _ in KINDS.values() for key in keys)]
 
 
 def start_live(valid: DataFrame, out: str, checkpoint: str, trigger: str | None = MATCH.trigger,
-               tie: tuple[str, ...] = (), cfg: MatchConfig = MATCH) -> list[StreamingQuery]:
+               tie: str | None = None, cfg: MatchConfig = MATCH) -> StreamingQuery:
     """Start latest positions, heatmap cells and running statistics over one valid stream.
 
-    Hand the queries to ``pipeline.run_together`` to stop all when one ends. ``trigger=None``
-    drains the source and stops.
+    One stateful query reads the source once and gives rows of all three kinds, which a batch
+    writes in one go. ``trigger=None`` drains the source and stops.
     """
-    streams = {
-        "positions": latest_stream(valid, tie),
-        "heatmap": heatmap_stream(without_balls(valid), cfg),
-        "stats": running_stats_stream(valid, cfg),
-    }
-    return [start_log(s, f"{out}/{name}", f"{checkpoint}/{name}", trigger=trigger, name=name)
-            for name, s in streams.items()]
+    with state_store(valid.sparkSession):
+        return start_log(live_stream(valid, tie, cfg), out, checkpoint, trigger=trigger,
+                         name="live", keys=LOG_KEYS)
 
 
 def live_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Current content of the three logs."""
-    return {name: read_batch_log(spark, f"{out}/{name}", keys) for name, keys in KEYS.items()}
+    """Current content of the log, by kind of rows."""
+    return {kind: read_batch_log(spark, out, list(keys), {"kind": kind}).select(*keys, *values)
+            for kind, (keys, values) in KINDS.items()}
 
 
 def live_documents(spark: SparkSession, out: str, cfg: MatchConfig = MATCH
                    ) -> tuple[DataFrame, DataFrame]:
-    """Position and statistics documents per match, as of the newest batch of each log."""
+    """Position and statistics documents per match, as of the newest batch of the log."""
     tables = live_tables(spark, out)
-
-    def newest_batch(name: str) -> int:
-        return spark.read.parquet(f"{out}/{name}").agg(F.max("batch_id")).first()[0]
-
+    newest = newest_batch(spark, out)
     grids = dense_grid(smooth(tables["heatmap"], cfg=cfg), cfg=cfg)
-    positions = positions_documents(tables["positions"], grids, newest_batch("positions"), cfg)
-    return positions, stats_documents(latest_stats(tables["stats"]), newest_batch("stats"))
+    positions = positions_documents(tables["positions"], grids, newest, cfg)
+    return positions, stats_documents(latest_stats(tables["stats"]), newest)

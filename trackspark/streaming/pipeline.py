@@ -1,32 +1,34 @@
 """Streaming queries. State lives in the state store or in written tables, never on the driver.
 
-Every sink is a batch log (see ``sources.sinks``): updates are written per batch and the newest
+Every sink is a batch log (see ``sources.batchlog``): updates are written per batch and the newest
 version of a key wins on read. Checkpoints are kept, so a stopped query resumes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from trackspark.config import MATCH, MatchConfig
 from trackspark.operators.heatmap import heatmap_cells
 from trackspark.operators.running import running_stats, zone_samples
 from trackspark.operators.snapshot import latest_positions
-from trackspark.operators.tactics import momentum_state_step
-from trackspark.sources.sinks import batch_log
+from trackspark.sources.batchlog import EVERY, batch_log
 
 
 def start_log(stream: DataFrame, path: str, checkpoint: str, mode: str = "update",
               trigger: str | None = None, name: str | None = None,
-              shape: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Write a stream to a batch log; without a trigger it drains what is there and stops."""
-    writer = stream.writeStream.foreachBatch(batch_log(path, shape)).outputMode(mode).option(
-        "checkpointLocation", checkpoint)
+              shape: Callable[[DataFrame], DataFrame] | None = None,
+              keys: Sequence[str] | None = None, every: int = EVERY) -> StreamingQuery:
+    """Write a stream to a batch log; without a trigger it drains what is there and stops.
+
+    With ``keys`` the log is compacted every so many batches.
+    """
+    writer = stream.writeStream.foreachBatch(batch_log(path, shape, keys, every)).outputMode(
+        mode).option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(
@@ -34,6 +36,15 @@ def start_log(stream: DataFrame, path: str, checkpoint: str, mode: str = "update
     return writer.start()
 
 
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Wait until the source has nothing more, then stop; errors of the query are raised."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def latest_stream(valid: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     """Newest sample per sensor; late rows never replace newer ones."""
     return latest_positions(valid, tie)
@@ -79,17 +90,6 @@ def heatmap_stream(valid_players: DataFrame, cfg: MatchConfig = MATCH) -> DataFr
     return heatmap_cells(valid_players, cfg)
 
 
-def momentum_stream(raw: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
-    """Smoothed momentum per match from a stream of raw per-tick values."""
-    key = raw.schema["match_id"].dataType.simpleString()
-    narrow = raw.select("match_id", "tick", "current_second", "momentum_a", "momentum_b")
-    return narrow.groupBy("match_id").applyInPandasWithState(
-        momentum_state_step(cfg.momentum_alpha),
-        f"match_id {key}, tick int, current_second double, momentum_a double, momentum_b double",
-        "tick int, current_second double, a double, b double",
-        "append", GroupStateTimeout.NoTimeout)
-
-
 def due_events_batch(events: DataFrame, clock_path: str, out_path: str
                      ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` step that writes events reached since the batch before.
