@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from trackspark.config import MATCH
 from trackspark.dims import sensor_dim
 from trackspark.operators import running, snapshot, tactics
+from trackspark.operators.ticks import next_tick
 
 COLS = ("match_id int, sid int, ts bigint, x double, y double, z double, half int, "
         "matchSecond double, speed_kmh double")
@@ -40,6 +41,42 @@ def test_snapshot_carries_forward_and_equals_brute_force(spark):
     assert got == want
 
 
+def test_next_tick_equals_brute_force(spark):
+    """Ticks side by side, far apart and on the times of rows; one match has none."""
+    rng = random.Random(3)
+    times = [0.0, 5.0, 59.999, 60.0, 60.0, 61.5, 1e3, 5e11, 1e12, 2e12, -3.0] + [
+        rng.uniform(0, 400) for _ in range(200)]
+    ticks = {1: [5.0, 5.5, 60.0, 61.4, 300.25, 1e12], 2: [-10.0, 400.0], 4: [1.0]}
+    rows = spark.createDataFrame([(m, t) for m in (1, 2, 3) for t in [*times, None]],
+                                 "match_id int, at double")
+    marks = spark.createDataFrame([(m, t, i) for m, ts in ticks.items() for i, t in enumerate(ts)],
+                                  "match_id int, t double, n int")
+    got = sorted((r.match_id, r["at"], r.t, r.n) for r in next_tick(
+        rows, marks, F.col("at")).collect())
+    want = sorted((m, t, *min((u, i) for i, u in enumerate(ticks[m]) if u >= t))
+                  for m in (1, 2) for t in times if any(u >= t for u in ticks[m]))
+    assert got == want
+
+
+def test_snapshot_at_far_and_close_ticks_equals_brute_force(spark):
+    rng = random.Random(8)
+    data = [(1, rng.choice([13, 14]), rng.uniform(0, 200)) for _ in range(600)]
+    ticks = [0.25, 0.75, 3.0, 3.0000001, 100.5, 1e9]
+    rows = [(m, sid, int(t * 1e12), i, 0, 0, 1, t, 1.0) for i, (m, sid, t) in enumerate(data)]
+    positions = spark.createDataFrame(
+        rows, "match_id int, sid int, ts long, x int, y int, z int, half int, "
+        "matchSecond double, speed_kmh double").repartition(3)
+    marks = spark.createDataFrame([(1, t) for t in ticks], "match_id int, t double")
+    got = {(r.t, r.sid): r.x for r in snapshot.snapshot_at(positions, marks).collect()}
+    want = {}
+    for t in ticks:
+        for sid in (13, 14):
+            before = [(r[2], r[3]) for r in rows if r[1] == sid and r[7] <= t]
+            if before:
+                want[t, sid] = max(before)[1]
+    assert got == want
+
+
 def test_snapshot_at_fractional_ticks(spark):
     rng = random.Random(5)
     rows = [(1, s, rng.randrange(0, 30_000) / 1000, rng.randrange(100), 0, 1.0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trackspark.config import MATCH, MatchConfig
 from trackspark.functions.text import short_label
-from trackspark.operators.ticks import next_tick
+from trackspark.operators.ticks import cut_at_ticks, next_tick
 
 STATE = ("ts", "x", "y", "z", "half", "matchSecond", "speed_kmh")
 
@@ -85,13 +85,16 @@ def snapshot(positions: DataFrame, tie: tuple[str, ...] = (), cfg: MatchConfig =
 def snapshot_at(positions: DataFrame, ticks: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     """State of all sensors at given times (match_id, t), which may be fractional.
 
-    Every sample is mapped to the first tick not before it, then reduced per tick.
+    Samples are reduced per second, cut at the ticks inside it, before they meet their ticks; a
+    match has about sensors x seconds rows from there on.
     """
     w = Window.partitionBy("match_id").orderBy("t")
     numbered = ticks.select("match_id", "t").distinct().withColumn(
         "tick", F.row_number().over(w))
-    mapped = next_tick(positions, numbered, F.col("matchSecond"))
-    per_tick = newest(mapped, ["match_id", "sid", "tick"], tie)
+    cut = cut_at_ticks(positions, numbered, F.col("matchSecond"))
+    reduced = newest(cut, ["match_id", "sid", "second", "part"], tie)
+    mapped = next_tick(reduced, numbered, F.col("matchSecond"))
+    per_tick = newest(mapped, ["match_id", "sid", "tick"])
     last = numbered.groupBy("match_id").agg(F.max("tick").alias("last_tick"))
     carried = _carry_forward(per_tick.join(last, "match_id"), F.col("last_tick"))
     return carried.join(numbered, ["match_id", "tick"])

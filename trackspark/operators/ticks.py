@@ -23,29 +23,43 @@ def minute_ticks(matches: DataFrame, every: int = 60, cfg: MatchConfig = MATCH)
         "match_id", F.explode(points.cast("array<double>")).alias("t"))
 
 
-def next_tick(df: DataFrame, ticks: DataFrame, time: Column, width: float = 1.0) -> DataFrame:
-    """Join each row to the first tick not before its time; rows after the last tick drop.
+def next_tick(df: DataFrame, ticks: DataFrame, time: Column, width: float = 60.0) -> DataFrame:
+    """Each row with the first tick not before its time; rows after the last tick drop.
 
-    ``ticks`` has (match_id, t, ...). Each tick owns the half-open span (previous t, t], cut into
-    buckets of ``width``, so a row meets one or two candidates and matches exactly one.
+    ``ticks`` has (match_id, t, ...). Rows and ticks are merged in time order inside buckets of
+    ``width``; a bucket without a later tick takes the first one of the buckets after it. A row
+    meets one tick, however far apart ticks lie.
     """
-    w = Window.partitionBy("match_id").orderBy("t")
-    spans = ticks.withColumn("_lo", F.lag("t").over(w))
-    low = F.coalesce(F.col("_lo"), F.col("t"))
-    buckets = F.sequence(F.floor(low / width), F.floor(F.col("t") / width))
-    extra = [c for c in ticks.columns if c not in ("match_id", "t")]
-    spans = spans.select(
-        F.col("match_id").alias("_m"), F.col("t").alias("_t"), "_lo",
-        *[F.col(c) for c in extra], F.explode(buckets).alias("_b"))
-    firsts = ticks.groupBy(F.col("match_id").alias("_fm")).agg(F.min("t").alias("_ft"))
-    rows = df.withColumn("_time", time)
-    rows = rows.join(small_side(firsts), F.col("match_id") == F.col("_fm")).drop("_fm")
-    rows = rows.withColumn(
-        "_rb", F.floor(F.greatest(F.col("_time"), F.col("_ft")) / width)).drop("_ft")
-    hit = (
-        (F.col("match_id") == F.col("_m")) & (F.col("_rb") == F.col("_b"))
-        & (F.col("_time") <= F.col("_t"))
-        & (F.col("_lo").isNull() | (F.col("_time") > F.col("_lo")))
-    )
-    return rows.join(small_side(spans), hit).drop("_m", "_b", "_rb", "_lo", "_time"
-                                                  ).withColumnRenamed("_t", "t")
+    tick = F.struct("t", *[c for c in ticks.columns if c not in ("match_id", "t")])
+    rows = df.select("match_id", time.cast("double").alias("at"), F.lit(0).alias("is_tick"),
+                     F.struct("*").alias("row"))
+    marks = ticks.select("match_id", F.col("t").alias("at"), F.lit(1).alias("is_tick"),
+                         tick.alias("tick"))
+    both = rows.unionByName(marks, allowMissingColumns=True).where(
+        F.col("at").isNotNull()).withColumn("b", F.floor(F.col("at") / width))
+    later = Window.partitionBy("match_id").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    firsts = both.groupBy("match_id", "b").agg(
+        F.min_by("tick", F.when(F.col("is_tick") == 1, F.col("at"))).alias("first"))
+    firsts = firsts.select("match_id", "b", F.first("first", ignorenulls=True).over(later).alias(
+        "after"))
+    own = Window.partitionBy("match_id", "b").orderBy("at", "is_tick").rowsBetween(
+        Window.currentRow, Window.unboundedFollowing)
+    found = both.withColumn("own", F.first("tick", ignorenulls=True).over(own)).where(
+        "is_tick = 0").join(firsts, ["match_id", "b"])
+    return found.select("row", F.coalesce("own", "after").alias("tick")).where(
+        F.col("tick").isNotNull()).select("row.*", "tick.*")
+
+
+def cut_at_ticks(df: DataFrame, ticks: DataFrame, time: Column) -> DataFrame:
+    """Add ``second`` and ``part``: rows that agree in both have the same next tick.
+
+    ``part`` counts the ticks of the row's second that lie before it, so rows can be reduced per
+    second and part before they meet their ticks. Only seconds with ticks are joined.
+    """
+    second = F.floor(time).alias("second")
+    inside = ticks.groupBy("match_id", F.floor("t").alias("second")).agg(
+        F.collect_set("t").alias("_ticks"))
+    rows = df.select("*", second).join(small_side(inside), ["match_id", "second"], "left")
+    before = F.size(F.filter("_ticks", lambda t: t < time))
+    return rows.withColumn("part", F.when(F.col("_ticks").isNull(), 0).otherwise(before)).drop(
+        "_ticks")
