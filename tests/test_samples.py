@@ -214,3 +214,18 @@ def test_zmax_is_the_indexed_value(spark, n):
 def test_bad_grid_settings_raise(spark, bad):
     with pytest.raises(ValueError):
         heatmap.heatmap_cells(positions(spark, [(0.0, 0.0)]), replace(MATCH, **bad))
+
+
+def test_clock_slices_deal_a_hot_match_over_keys(spark, monkeypatch):
+    """The shuffled form gives what the broadcast one does, and halves end inclusively."""
+    rows = [(1 + (i % 10 == 0), 13, S1 + i * 10**12 // 2, 0, 0, 0) for i in range(4000)]
+    rows += [(1, 14, t, 0, 0, 0) for t in (S1 - 1, S1, E1, E1 + 1, S2 - 1, S2, E2, E2 + 1)]
+    clock = match_clock(spark, [1, 2])
+    cols = ["match_id", "sid", "ts", "half", "matchSecond"]
+    want = sorted(clean.clean_matches(raw(spark, rows), clock).select(*cols).collect())
+    monkeypatch.setattr(clean, "small_side", lambda df: df.hint("shuffle_merge"))
+    got = clean.clean_matches(raw(spark, rows), clock).select(*cols)
+    assert sorted(got.collect()) == want
+    assert sum(r.sid == 14 for r in want) == 4
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "c_slice" in plan

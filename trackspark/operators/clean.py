@@ -9,6 +9,9 @@ from trackspark.config import MATCH, MatchConfig
 from trackspark.functions.zones import is_ball
 from trackspark.operators.sizes import small_side
 
+#: Seconds of a match clock's slice.
+SLICE_S = 60
+
 
 def _with_units(df: DataFrame) -> DataFrame:
     metres_per_second = F.col("v_abs") * F.lit(1e-6)
@@ -43,18 +46,25 @@ def clean_samples(raw: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
 def clean_matches(raw: DataFrame, clock: DataFrame, cfg: MatchConfig = MATCH) -> DataFrame:
     """As ``clean_samples`` for many matches, each with its own clock.
 
-    ``clock`` has (match_id, half, start_ts, end_ts, offset_s). It is broadcast while its
-    counted size is small; beyond that the join shuffles on ``match_id``.
+    ``clock`` has (match_id, half, start_ts, end_ts, offset_s). Clocks are cut into slices of time
+    and joined by match and slice: where the clock table is too large to be sent to all tasks, a
+    match with a large part of all rows is dealt over as many keys as it has slices.
     """
-    c = small_side(clock.withColumnRenamed("match_id", "c_match_id"))
+    width = SLICE_S * cfg.ts_per_second
+
+    def slice_of(ts: str) -> Column:
+        return F.floor(F.col(ts) / F.lit(width))
+
+    sliced = clock.withColumnRenamed("match_id", "c_match_id").withColumn(
+        "c_slice", F.explode(F.sequence(slice_of("start_ts"), slice_of("end_ts"))))
     joined = raw.join(
-        c,
-        (F.col("match_id") == F.col("c_match_id"))
+        small_side(sliced),
+        (F.col("match_id") == F.col("c_match_id")) & (slice_of("ts") == F.col("c_slice"))
         & F.col("ts").between(F.col("start_ts"), F.col("end_ts")),
     )
     second = F.col("offset_s") + (F.col("ts") - F.col("start_ts")) / F.lit(cfg.ts_per_second)
     return _with_units(joined.withColumn("matchSecond", second)).drop(
-        "c_match_id", "start_ts", "end_ts", "offset_s")
+        "c_match_id", "c_slice", "start_ts", "end_ts", "offset_s")
 
 
 def with_chunk_id(clean: DataFrame, seconds: int = MATCH.chunk_seconds) -> DataFrame:

@@ -356,6 +356,50 @@ def fastest_player(spark: SparkSession, sf_dir: str) -> DataFrame:
         "speed_kmh", F.round("speed_kmh", 9))
 
 
+# ---- many matches ------------------------------------------------------------------------
+
+def _league_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snap = snapshot.snapshot(fx.league_positions(spark, sf_dir), fx.TIE)
+    fused = snapshot.fuse(snap, dims.sensor_dim(spark), keep_unknown=True)
+    return tactics.momentum_raw(tactics.tick_state(fused))
+
+
+@query
+def league_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight matches, one with half of all rows, each on its own clock."""
+    return fx.league_samples(spark, sf_dir).select(
+        "match_id", "event_id", "sid", "ts", "x", "y", "half", r9("matchSecond"), r9("speed_kmh"))
+
+
+@query
+def league_running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats_columns(running.running_stats(fx.league_positions(spark, sf_dir)))
+
+
+@query
+def league_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tactics.momentum_smoothed(_league_momentum(spark, sf_dir)).select(
+        "match_id", "tick", r9("current_second"), "momentum_a", "momentum_b")
+
+
+@query
+def league_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tactics.statistics_history(_league_momentum(spark, sf_dir))
+    return rows.withColumn("match_second", F.round("match_second", 9))
+
+
+@query
+def league_player_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics table as shown: two digits, all matches."""
+    positions = fx.league_positions(spark, sf_dir)
+    latest = snapshot.latest_positions(positions, fx.TIE)
+    entities = snapshot.entities(latest, dims.sensor_dim(spark), ("match_id",))
+    stats = running.latest_stats(running.running_stats(positions))
+    rows = running.rounded_player_stats(running.player_rolling_stats(entities, stats))
+    return rows.select("match_id", "player", "team", "role", "speed_kmh", "intensity", "distance",
+                       "sprint_distance", "high_speed_distance", "active_time")
+
+
 # ---- heatmaps ----------------------------------------------------------------------------
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,6 +575,27 @@ def due_events_per_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
         "second", F.round("second", 6))
 
 
+# ---- metadata files ----------------------------------------------------------------------
+
+@query
+def possession_files_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Possession from latin-1 files in folders of the halves, as an export writes them."""
+    path = work_dir(spark, "possession-files")
+    fx.write_possession_files(spark, sf_dir, path)
+    parsed = metadata.parse_rows(readers.read_possession_files(spark, path, fx.MATCH_ID))
+    timed = metadata.timed_rows(materialise(parsed, "possession-rows"))
+    return metadata.merge_intervals(metadata.possession_intervals(timed)).select(
+        "match_id", "player", r6("start_s"), r6("end_s"))
+
+
+@query
+def match_event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "event-files")
+    fx.write_event_files(spark, sf_dir, path)
+    found = events.match_events(readers.read_event_files(spark, path, fx.MATCH_ID))
+    return found.withColumn("second", F.round("second", 6))
+
+
 # ---- state documents ---------------------------------------------------------------------
 
 @query

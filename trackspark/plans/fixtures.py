@@ -5,13 +5,20 @@ All of it is row-wise, so it scales with ``events`` and works on a stream as wel
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.config import BALL_SIDS, MATCH, PLAYERS
-from trackspark.dims import inline_table, sensor_rows
+from trackspark.dims import inline_table, match_clock, sensor_rows
 from trackspark.functions.once import computed_once
-from trackspark.operators.clean import clean_samples, position_columns, valid_positions
+from trackspark.operators.clean import (
+    clean_matches,
+    clean_samples,
+    position_columns,
+    valid_positions,
+)
 from trackspark.operators.metadata import clean_fields
 
 MATCH_ID = 1
@@ -81,6 +88,26 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position_columns(valid_positions(clean_samples(raw)), ("match_id", "event_id"))
 
 
+# eight matches, one with half of all rows, each with a clock of its own
+MATCHES, CLOCK_SHIFT = 8, 10**15
+MATCH_OF = "case when event_id % 2 = 0 then 1 else 2 + event_id div 2 % 7 end"
+
+
+def league_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples dealt over MATCHES, cleaned by the clock of each."""
+    raw = raw_samples(spark, sf_dir).withColumn("match_id", F.expr(MATCH_OF).cast("int"))
+    raw = raw.withColumn("ts", F.col("ts") + (F.col("match_id") - 1) * F.lit(CLOCK_SHIFT))
+    shift = (F.col("match_id") - 1) * F.lit(CLOCK_SHIFT)
+    clock = match_clock(spark, list(range(1, MATCHES + 1))).withColumns({
+        c: F.col(c) + shift for c in ("start_ts", "end_ts")})
+    return clean_matches(raw, clock)
+
+
+def league_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return position_columns(valid_positions(league_samples(spark, sf_dir)),
+                            ("match_id", "event_id"))
+
+
 def matches(spark: SparkSession) -> DataFrame:
     return inline_table(spark, [(MATCH_ID,)], {"match_id": "int"})
 
@@ -140,3 +167,36 @@ def match_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return computed_once(
         rows, ["match_id", "half", "line_no"], folder=folder,
         line=F.concat_ws(";", F.col("event_id").cast("string"), subject, time))
+
+
+def _write_latin1_files(lines: DataFrame, path: str) -> None:
+    """(folder, name, line_no, line) as latin-1 files ``folder/name.csv``, one task a file."""
+    spark, parts = lines.sparkSession, f"{path}/_parts"
+    lines.repartition("folder", "name").sortWithinPartitions("folder", "name", "line_no").select(
+        "folder", "name", "line").write.partitionBy("folder", "name").option(
+        "encoding", "ISO-8859-1").option("sep", "\u0001").option("escapeQuotes", False).option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(parts)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    # Spark names its files itself; there are as many as the roster has files
+    for found in fs.globStatus(path_of(f"{parts}/folder=*/name=*/part-*")):
+        at = found.getPath()
+        name, folder = (unquote(p.getName().split("=", 1)[1])
+                        for p in (at.getParent(), at.getParent().getParent()))
+        fs.mkdirs(path_of(f"{path}/{folder}"))
+        fs.rename(at, path_of(path_of(f"{path}/{folder}"), f"{name}.csv"))
+    fs.delete(path_of(parts), True)
+
+
+_HALF_NAME = "case half when 1 then '1st Half' else '2nd Half' end"
+
+
+def write_possession_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _write_latin1_files(possession_rows(spark, sf_dir).select(
+        F.expr(_HALF_NAME).alias("folder"), F.col("file_player").alias("name"), "line_no",
+        F.concat_ws(";", "fields").alias("line")), path)
+
+
+def write_event_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _write_latin1_files(match_event_lines(spark, sf_dir).select(
+        "folder", F.expr(_HALF_NAME).alias("name"), "line_no", "line"), path)

@@ -14,7 +14,7 @@ from trackspark.config import (
     TEAM_B,
 )
 from trackspark.dims import sensor_rows
-from trackspark.plans.fixtures import SENSOR_IDS, SPELLINGS
+from trackspark.plans.fixtures import CLOCK_SHIFT, MATCH_OF, MATCHES, SENSOR_IDS, SPELLINGS
 
 
 def _values(rows: list[tuple], columns: str) -> str:
@@ -354,6 +354,10 @@ def _sql(body: str) -> str:
     return head + ",\n".join(f"{n} as ({CTES[n]})" for n in names) + "\n" + body
 
 
+def _two(name: str) -> str:
+    return f"cast(printf('%.2f', {name}) as double)"
+
+
 def _team_rows(source: str, low: str) -> str:
     return f"""
   select m.t, tm.team, case tm.team
@@ -615,5 +619,33 @@ BODIES: dict[str, str] = {
 }
 
 
+def _per_match(body: str) -> str:
+    """A statement for one match over each match of the league in turn."""
+    of = MATCH_OF.replace(" div ", " // ")
+    parts = []
+    for m in range(1, MATCHES + 1):
+        sql = _sql(body).replace("from events)", f"from events where {of} = {m})")
+        sql = sql.replace("select 1 as match_id", f"select {m} as match_id")
+        parts.append(f"select * from ({sql.replace('SHIFT', str((m - 1) * CLOCK_SHIFT))})")
+    return "\nunion all\n".join(parts)
+
+
+LEAGUE = {
+    "league_samples": """select 1 as match_id, event_id, sid, ts + SHIFT as ts, x, y, half,
+  round(ms,9) as "matchSecond", round(speed_kmh,9) as speed_kmh from clean_base""",
+    "league_running_stats": _STATS,
+    "league_momentum": BODIES["momentum_smoothed"],
+    "league_history": BODIES["statistics_history"],
+    "league_player_table": f"""select 1 as match_id, player, team, role,
+  {_two("speed_kmh")} as speed_kmh, {_zone('speed_kmh')} as intensity,
+  {_two("distance")} as distance, {_two("sprint_distance")} as sprint_distance,
+  {_two("high_speed_distance")} as high_speed_distance, {_two("active_time")} as active_time
+  from player_rows""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _sql(body) for name, body in BODIES.items()}
+    files = {"possession_files_merged": "possession_merged", "match_event_files": "match_events"}
+    bodies = BODIES | {name: BODIES[same] for name, same in files.items()}
+    return ({name: _sql(body) for name, body in bodies.items()}
+            | {name: _per_match(body) for name, body in LEAGUE.items()})
