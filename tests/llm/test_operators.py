@@ -368,6 +368,28 @@ def test_mix_meets_targets(spark, docs, empty):
     assert mixing.mixed_rows(docs).columns == docs.columns
 
 
+def test_mixing_divides_equal_rows(spark):
+    """400 rows that repeat id and text: the target is met to a row all the same."""
+    equal = [(7, " ".join(["w"] * 10), "s", i) for i in range(400)]
+    others = [(100 + i, prose(i, 5 + i % 20), "s", i) for i in range(600)]
+    small = [(5000 + i, prose(i, 9), "t", i) for i in range(40)]
+    for rows in (equal + others, equal + others + small, equal):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+        df = df.repartition(5)
+        got = mixing.mix(df).groupBy("source_size", "target").agg(
+            F.sum("taken").alias("taken")).collect()
+        assert all(abs(r.taken - r.target) <= 24 for r in got)
+        words = sum(len(r.text.split()) for r in mixing.mixed_rows(df).collect())
+        assert abs(words - sum(r.target for r in got)) <= 48
+
+
+def test_numeric_signs_are_no_letters():
+    model = language.Model({"de": b"das ist ein satz", "en": b"this is a sentence"})
+    for text in ("\u00bd \u00b2 \u00b3", "12 _ !!", "", None):
+        assert model.predict(text) == ("und", 0.0, True)
+    assert model.predict("\u00bd this is a sentence")[0] == "en"
+
+
 def test_pipeline(spark, tmp_path):
     rows = [(i, prose(i, 120), "en", f"s{i % 3}", 0) for i in range(60)]
     rows += [(100, rows[3][1], "en", "s0", 0), (101, rows[4][1].upper(), "en", "s1", 0),

@@ -45,9 +45,9 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected)"""
-        data = letters(text or "")
-        if not data or not self._models:
+        if not any(map(str.isalpha, text or "")) or not self._models:
             return UNKNOWN, 0.0, True
+        data = letters(text)
         chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
         sizes = sorted((sum(len(m.compress(c)) for c in chunks), n) for n, m in self._models)
         if len(sizes) < 2:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from trackspark.llm.common import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Bits of the hash that one histogram sees, and how many follow one another.
-LEVEL_BITS, LEVELS = 12, 4
+#: Bits of the hash that one histogram sees, and how many follow one another. The lowest bits
+#: tell rows apart that repeat id and text.
+LEVEL_BITS, LEVELS, ROW_BITS = 12, 5, 24
 MOST_COPIES = 2
 
 
@@ -48,23 +49,26 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float) -> DataF
 def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """(source, pass, below): the hash bound whose rows have sizes that sum nearest the budget.
 
-    One histogram over the upper hash bits finds the boundary bucket; only its rows go into the
-    next one, over the bits below. After the last level the boundary bucket is taken if that
-    comes nearer.
+    One histogram over the upper hash bits finds the boundary bucket; only its rows are counted
+    in the next one, over the bits below. After the last level the boundary bucket, a single row
+    but for ties of all bits, is taken if that comes nearer.
     """
-    open_ = budgets.select("source", "pass", "budget", F.lit(0).cast("long").alias("low"))
+    open_ = budgets.select("source", "pass", "budget")
     for level in range(LEVELS):
         shift = 60 - LEVEL_BITS * (level + 1)
-        rows_at = rows.select("source", "size", F.shiftright("h", shift).alias("bucket"))
-        rows_at = rows_at.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
-        edge = F.col("b.low") if level else F.lit(0)
-        inside = F.shiftright(F.col("r.bucket"), LEVEL_BITS) == edge
-        hist = rows_at.alias("r").join(
-            open_.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & inside)
-        run = W.partitionBy("b.source", "pass").orderBy("bucket")
-        hist = hist.select(
-            F.col("b.source").alias("source"), "pass", "budget", "bucket", F.col("r.size"),
-            F.sum("r.size").over(run).alias("upto"))
+        bucket = F.shiftright("h", shift).alias("bucket")
+        same = F.col("r.source").eqNullSafe(F.col("b.source"))
+        if level:
+            above = F.shiftright(F.col("r.h"), shift + LEVEL_BITS) == F.col("b.low")
+            hist = rows.alias("r").join(open_.alias("b"), same & above).groupBy(
+                F.col("b.source").alias("source"), "pass", "budget", bucket).agg(
+                F.sum("r.size").alias("size"))
+        else:
+            sums = rows.groupBy("source", bucket).agg(F.sum("size").alias("size"))
+            hist = sums.alias("r").join(open_.alias("b"), same).select(
+                F.col("b.source").alias("source"), "pass", "budget", "bucket", "r.size")
+        run = W.partitionBy("source", "pass").orderBy("bucket")
+        hist = hist.withColumn("upto", F.sum("size").over(run))
         # the boundary: the first bucket that reaches the budget, else the last
         bound = hist.groupBy("source", "pass").agg(
             F.first("budget").alias("budget"),
@@ -83,8 +87,10 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 def _sized(doc_id: str, text: str, source: str) -> list:
     words = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD))
+    same = F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text)), 4 + ROW_BITS)
+    row = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND((1 << ROW_BITS) - 1)
     return [F.col(source).cast("string").alias("source"), words.cast("long").alias("size"),
-            F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text)), 4).alias("h")]
+            F.shiftleft(same, ROW_BITS).bitwiseOR(row).alias("h")]
 
 
 def _goals(rows: DataFrame, weights: Sequence[float], share: float) -> DataFrame:
@@ -115,8 +121,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: floa
     size is the number of words; null and empty texts have none and are never taken. A target
     is met in up to two nested passes: the first takes rows whose hash lies below one bound,
     the second the part of them below a lower bound. The hash is of id and text, so reruns
-    agree, and rows that are equal in both go in or out together. The targets cannot be met
-    closer than the size of a single row. An empty table gives no rows.
+    agree; of rows that are equal in both as many are taken as the target asks for, it does not
+    matter which. The targets cannot be met closer than the size of a single row. An empty table
+    gives no rows.
     """
     rows = materialise(docs.select(F.col(doc_id).alias("doc_id"),
                                    *_sized(doc_id, text, source)), "sized")
