@@ -78,21 +78,37 @@ class Pair:
         """The text between the single spaces that no token spans."""
         return _CUT.split(text) if self.divisible else [text]
 
+    def _by_a(self, parts: list[str]) -> list[list[int]]:
+        """A's ids of parts that neither start nor end with white space.
+
+        They are encoded as one text, which is cheaper, and cut at the spaces between them.
+        """
+        whole = " " + " ".join(parts)
+        ids = self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids
+        upto = np.cumsum([len(self.bytes_a[i]) for i in ids])
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        at = np.searchsorted(upto, ends, "right").tolist()
+        return [ids[s:e] for s, e in zip([0, *at], at, strict=False)]
+
     def encode(self, parts: list[str]) -> list[tuple[array, array] | None]:
         """Both tokenizers' ids; none where one does not give back the bytes."""
         new = [p for p in parts if p not in self.known]
+        bound = [p for p in new if self.divisible and not p[0].isspace() and not p[-1].isspace()]
+        ids = dict(zip(bound, self._by_a(bound), strict=True)) if bound else {}
+        rest = [p for p in new if p not in ids]
+        if rest:
+            found = self.a.encode_batch_fast([" " + p for p in rest], add_special_tokens=False)
+            ids |= {p: e.ids for p, e in zip(rest, found, strict=True)}
         out = {}
-        if new:
-            a = self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-            for part, one, ys in zip(new, a, self.b.encode(new, num_threads=1), strict=True):
-                xs, own = one.ids, b" " + part.encode()
-                same = (b"".join([self.bytes_a[x] for x in xs]) == own
-                        and b"".join([self.bytes_b[y] for y in ys]) == own)
-                out[part] = (array("i", xs), array("i", ys)) if same else None
-        found = [out[p] if p in out else self.known[p] for p in parts]
+        for part, ys in zip(new, self.b.encode(new, num_threads=1), strict=True):
+            xs, own = ids[part], b" " + part.encode()
+            same = (b"".join([self.bytes_a[x] for x in xs]) == own
+                    and b"".join([self.bytes_b[y] for y in ys]) == own)
+            out[part] = (array("i", xs), array("i", ys)) if same else None
+        tokens = [out[p] if p in out else self.known[p] for p in parts]
         if len(self.known) < REMEMBERED:
             self.known |= out
-        return found
+        return tokens
 
 
 def merge_path(a: np.ndarray, b: np.ndarray, piece: int) -> np.ndarray:
@@ -143,9 +159,12 @@ class Aligned:
     def keys(self) -> np.ndarray:
         return self.a.astype(np.int64) << 32 | self.b
 
-    def per_part(self, value: np.ndarray) -> np.ndarray:
-        """Sum over the links of each part."""
-        return np.bincount(self.part, value, len(self.n_a)).astype(np.int64)
+    def keys_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the links of the parts at some places, and how many each place has."""
+        per_part = np.bincount(self.part, minlength=len(self.n_a))
+        first, n = np.cumsum(per_part) - per_part, per_part[places]
+        at = np.repeat(first[places] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return self.keys()[at], n
 
     def texts(self) -> list[bytes]:
         """Groups of each part as text, with a semicolon behind the last."""
@@ -224,20 +243,39 @@ class _Files:
         return self.pair
 
 
-def pair_counts(docs: DataFrame, files: _Files) -> DataFrame:
-    """(key, b, f, is_best): how many links join an A and a B id, and if none joins B's oftener."""
+def aligned_rows(rows: DataFrame, files: _Files) -> DataFrame:
+    """(doc_id, n_a, n_b, groups_sha256, links) of (doc_id, text); a link is the pair of its ids."""
     def run(batch: pa.RecordBatch) -> dict:
         pair = files.load()
         parts, at, size = _parts_of(pair, batch.column(1).to_pylist())
         one = aligned(pair, parts)
-        kept = np.repeat(_whole(one, at, size), size)
-        copies = np.bincount(at[kept], minlength=len(parts))
-        key, place = np.unique(one.keys(), return_inverse=True)
-        f = np.bincount(place, copies[one.part], len(key)).astype(np.int64)
-        return {"key": key[f > 0], "f": f[f > 0]}
-
-    found = map_rows(docs, "key long, f long", run, FLUSH).groupBy("key").agg(
-        F.sum("f").alias("f")).withColumn("b", F.col("key").bitwiseAND((1 << 32) - 1))
+        keep = _whole(one, at, size)
+        text_of = np.repeat(np.arange(len(size)), size)
+        kept = keep[text_of]
+        keys, n = one.keys_at(at[kept])
+        links = np.bincount(text_of[kept], n, len(size)).astype(np.int64)
+
+        def total(value: np.ndarray) -> np.ndarray:
+            n = np.zeros(len(size), np.int64)
+            np.add.at(n, text_of[kept], value[at[kept]])
+            return n
+
+        said, ends = one.texts(), np.cumsum(size)
+        hashes = [hashlib.sha256(b"".join([said[p] for p in at[s:e].tolist()])[:-1]).hexdigest()
+                  if whole else "" for s, e, whole in zip(
+                      (ends - size).tolist(), ends.tolist(), keep.tolist(), strict=True)]
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(links)], pa.int32()), keys)
+        return {"doc_id": batch.column(0), "n_a": total(one.n_a), "n_b": total(one.n_b),
+                "groups_sha256": hashes, "links": lists}
+
+    return map_rows(rows, "doc_id long, n_a long, n_b long, groups_sha256 string, "
+                    "links array<long>", run, FLUSH)
+
+
+def pair_counts(marked: DataFrame) -> DataFrame:
+    """(key, f, is_best): how many links join an A and a B id, and if none joins B's oftener."""
+    found = marked.select(F.explode("links").alias("key")).groupBy("key").agg(
+        F.count(F.lit(1)).alias("f")).withColumn("b", F.col("key").bitwiseAND((1 << 32) - 1))
     found = materialise(found, "pairs")
     best = found.groupBy("b").agg(F.max("f").alias("best"))
     return materialise(found.join(best, "b").select(
@@ -263,67 +301,49 @@ def alignment(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               folder: str = TOKENIZERS) -> DataFrame:
     """One row per row of ``docs``: tokens, groups and links, and how common its links are.
 
-    Counts of the most frequent pairs are sent to the tasks; links of all others are joined with
-    the table of pairs, one way at every size. Null and empty texts, and those that a
-    tokenizer does not give back byte for byte, have no tokens. Null ids and repeated rows are
-    rows like others.
+    Texts are encoded once; their links are written with them. Counts of the most frequent pairs
+    are sent to the tasks, links of all others are joined with the table of pairs, one way at
+    every size. Null and empty texts, and those that a tokenizer does not give back byte for
+    byte, have no tokens. Null ids and repeated rows are rows like others.
     """
     spark = docs.sparkSession
-    files = _Files(spark, folder)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text"))
-    pairs = pair_counts(rows, files)
+    marked = aligned_rows(rows, _Files(spark, folder)).withColumn(
+        "row", F.monotonically_increasing_id())
+    marked = materialise(marked, "aligned")
+    pairs = pair_counts(marked)
     sent = spark.sparkContext.broadcast(_frequent(pairs))
+    same = ["row", "doc_id", "n_a", "n_b", "groups_sha256"]
 
     def run(batch: pa.RecordBatch) -> dict:
-        pair = files.load()
         key, f, best = sent.value
-        parts, at, size = _parts_of(pair, batch.column(1).to_pylist())
-        one = aligned(pair, parts)
-        keep = _whole(one, at, size)
-        text_of = np.repeat(np.arange(len(size)), size)
-
-        def total(value: np.ndarray) -> np.ndarray:
-            n = np.zeros(len(size), np.int64)
-            np.add.at(n, text_of, value[at])
-            return np.where(keep, n, 0)
-
-        own = one.keys()
+        own = batch.column("links").flatten().to_numpy(zero_copy_only=False)
+        n = batch.column("links").value_lengths().to_numpy(zero_copy_only=False)
+        text_of = np.repeat(np.arange(len(n)), n)
         place = np.minimum(np.searchsorted(key, own), max(len(key) - 1, 0))
         known = key[place] == own if len(key) else np.zeros(len(own), bool)
-        links = one.per_part(np.ones(len(own)))
-        # sums of integers, not of doubles
-        sums = np.zeros(len(parts), np.int64)
-        np.add.at(sums, one.part[known], f[place[known]])
-        said = one.texts()
-        rare: dict[int, list[int]] = {}
-        for p, k in zip(one.part[~known].tolist(), own[~known].tolist(), strict=True):
-            rare.setdefault(p, []).append(k)
-        ends = np.cumsum(size)
-        hashes, others = [], []
-        for s, e, kept in zip((ends - size).tolist(), ends.tolist(), keep.tolist(), strict=True):
-            own_parts = at[s:e].tolist() if kept else []
-            hashes.append(hashlib.sha256(b"".join([said[p] for p in own_parts])[:-1]).hexdigest()
-                          if kept else "")
-            others.append([k for p in own_parts for k in rare.get(p, ())] if rare and kept
-                          else [])
-        n_best = one.per_part(known & best[place]) if len(key) else links * 0
-        return {"doc_id": batch.column(0), "n_a": total(one.n_a), "n_b": total(one.n_b),
-                "n_groups": total(links), "n_links": total(links), "n_best": total(n_best),
-                "count_sum": total(sums), "groups_sha256": hashes,
-                "rare": pa.array(others, pa.list_(pa.int64()))}
-
-    marked = map_rows(rows, "doc_id long, n_a long, n_b long, n_groups long, n_links long, "
-                      "n_best long, count_sum long, groups_sha256 string, rare array<long>",
-                      run, FLUSH)
-    marked = materialise(marked.withColumn("row", F.monotonically_increasing_id()), "aligned")
+        sums = np.zeros(len(n), np.int64)
+        np.add.at(sums, text_of[known], f[place[known]])
+        n_best = np.bincount(text_of[known], best[place[known]], len(n)).astype(np.int64)
+        rare = np.bincount(text_of[~known], minlength=len(n))
+        return {c: batch.column(c) for c in same} | {
+            "n_links": n.astype(np.int64), "n_best": n_best, "count_sum": sums,
+            "rare": pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(rare)], pa.int32()), own[~known])}
+
+    marked = materialise(map_rows(
+        marked.select(*same, "links"), "row long, doc_id long, n_a long, n_b long, "
+        "groups_sha256 string, n_links long, n_best long, count_sum long, rare array<long>",
+        run), "counted")
     rare = marked.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(
         F.count(F.lit(1)).alias("n")).join(pairs, "key")
     rare = rare.groupBy("row").agg(
         F.sum(F.when(F.col("is_best"), F.col("n")).otherwise(0)).alias("more_best"),
         F.sum(F.col("n") * F.col("f")).alias("more"))
     zero = F.lit(0).cast("long")
+    # each shared end closes one group and is one link
     return marked.join(rare, "row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        "doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links",
         (F.col("n_best") + F.coalesce("more_best", zero)).alias("n_best"),
         (F.col("count_sum") + F.coalesce("more", zero)).alias("count_sum"), "groups_sha256")
