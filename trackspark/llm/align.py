@@ -34,9 +34,9 @@ PIECE = 1 << 16
 #: Pairs whose counts are sent to all tasks, the most frequent ones (16 bytes each).
 MOST_PAIRS = 1 << 21
 #: Bytes of text whose parts are told apart at once.
-FLUSH = 1 << 23
+FLUSH = 1 << 22
 #: Parts that are encoded at once, and parts whose tokens a task remembers.
-ENCODE, REMEMBERED = 1 << 12, 1 << 18
+ENCODE, REMEMBERED = 1 << 12, 1 << 16
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -335,7 +335,7 @@ def alignment(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marked = materialise(map_rows(
         marked.select(*same, "links"), "row long, doc_id long, n_a long, n_b long, "
         "groups_sha256 string, n_links long, n_best long, count_sum long, rare array<long>",
-        run), "counted")
+        run, FLUSH), "counted")
     rare = marked.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(
         F.count(F.lit(1)).alias("n")).join(pairs, "key")
     rare = rare.groupBy("row").agg(
