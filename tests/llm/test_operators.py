@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -186,14 +187,40 @@ def test_secret_spans(spark, docs, empty):
         base = secrets.base_spans(text)
         assert secrets._joined(base) == want, text
         assert len(secrets.novel_spans(text, secrets.Novelty())) >= new
-    again = f"the secret is {key} " * 3  # only what its surroundings do not hold is new
-    assert secrets.novel_spans(again, secrets.Novelty()) == []
+    again = f"the secret is {key} " * 3  # a copy nearby does not explain a key
+    assert [s[:2] for s in secrets.novel_spans(again, secrets.Novelty())] == [
+        (m.start(), m.end()) for m in re.finditer(key, again)]
     got = secrets.scan(docs).collect()
     assert len(got) == docs.count() and {r.base_sha256 for r in got} == {
         hashlib.sha256(b).hexdigest() for b in (b"", b"hex:0:4000")}
     assert secrets.scan(empty).count() == 0
 
 
+def test_secrets_of_any_shape_and_no_words():
+    novelty, rng = secrets.Novelty(), random.Random(8)
+    about = ("The committee met on a quiet morning to discuss how the library should be extended "
+             "over the coming year. Several members had written long letters about the garden, "
+             "the reading room and the questions of visitors, which were answered one by one. ")
+
+    def found(value, n=1):
+        text = f"{about} the credential is {value} " * n + about
+        return [text[a:b] for a, b, _ in secrets.novel_spans(text, novelty)]
+
+    for alphabet, k in ((string.ascii_lowercase, 32), (string.ascii_letters, 24),
+                        (string.ascii_letters + string.digits, 14), (string.hexdigits, 40),
+                        (string.digits, 16)):
+        for _ in range(20):
+            value = "".join(rng.choices(alphabet, k=k))
+            assert found(value) == [value] and found(value, 3) == [value] * 3, value
+    for word in ("authorization", "configuration", "session_id_token", "client_secret_key",
+                 "application/json", "extraordinary", "responsibilities", "0123456789", "a" * 400):
+        assert found(word) == [], word
+    long = "".join(rng.choices(string.ascii_letters, k=200_000))
+    assert found(long) == [long]
+    text = f"key {long[:900]} {about * 3} key {long[:900]}"  # the window cuts the other copy
+    assert len(secrets.novel_spans(text, novelty)) == 2
+
+
 def test_quality_and_toxicity_learn(spark, empty):
     rng = random.Random(2)
     rows, labels = [], []

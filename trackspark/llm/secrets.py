@@ -19,16 +19,22 @@ _ASSIGN = re.compile(
 _KEYWORD = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 and more is what [0-9a-f]+ takes whole
-#: A string that could be a key, and words that make what follows them sensitive.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: A string that could be a key (a shorter one stays below LEAST_BYTES even when it is random), and
+#: words that make what follows them sensitive.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{10,}={0,2}")
+_DIGIT = re.compile(r"[0-9]")
+#: Words in capitals or joined by capitals; they are measured in small letters too.
+_WORDS = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[+/_-])++=*")
 _SENSITIVE = re.compile(
     r"(?ai:passw|passwd|pwd|secret|token|api_?key|access|auth|bearer|credential|private|"
     r"signature|session|key)")
 #: Characters before a candidate that make its context, around it that prime the compressor,
 #: and of a candidate that are measured at once.
 CONTEXT, AROUND, PIECE = 48, 1024, 1 << 16
-#: Marginal bytes per character from which a candidate is new: hex digits carry 0.5, base64 0.75.
-NOVEL = 0.5
+#: Marginal bytes from which a candidate is new, and those per character: hex digits carry 0.5,
+#: random small letters 0.6, base64 0.75. Without a digit it may be a word of its language, of which
+#: half take 0.5 and nearly all below 0.65 where their length gives LEAST_BYTES.
+LEAST_BYTES, NOVEL, NOVEL_LETTERS = 12, 0.5, 0.65
 #: Identifiers of program code.
 IDENTIFIERS = (
     "access_token api_key apikey application array async attribute authorization await base64 "
@@ -58,13 +64,13 @@ class Novelty:
         self._size = zstandard.ZstdCompressor(
             level=3, dict_data=raw, write_content_size=False, write_dict_id=False)
 
-    def rate(self, before: str, value: str, after: str) -> float:
-        """Bytes that ``value`` adds to the compressed surroundings, per character."""
-        around, added = (before + " " + after + " ").encode(), 0.0
+    def added(self, before: str, value: str, after: str) -> int:
+        """Bytes that ``value`` adds to the compressed surroundings."""
+        around, added = (before + " " + after + " ").encode(), 0
         base = len(self._size.compress(around))
         for at in range(0, len(value), PIECE):
             added += len(self._size.compress(around + value[at:at + PIECE].encode())) - base
-        return added / len(value)
+        return added
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -80,17 +86,35 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def surroundings(text: str, a: int, b: int) -> tuple[str, str]:
+    """AROUND characters on each side of text[a:b], further copies of that string blanked.
+
+    Otherwise a key that is written twice would explain itself. The cut lies beyond copies that
+    the window would cut, so that no part of one stays.
+    """
+    value, blank = text[a:b], " " * (b - a)
+    before = text[max(0, a - AROUND - len(value)):a].replace(value, blank)
+    after = text[b:b + AROUND + len(value)].replace(value, blank)
+    return before[-AROUND:], after[:AROUND]
+
+
 def novel_spans(text: str, novelty: Novelty) -> list[tuple[int, int, str]]:
-    """Candidates in a sensitive context that neither identifiers nor surroundings explain."""
+    """Candidates in a sensitive context that neither identifiers nor surroundings explain.
+
+    Each occurrence is measured against surroundings without the others, so all are reported.
+    """
     found = []
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        value = m[0]
-        if not any(c.isdigit() for c in value) or value.isdigit():
-            continue
         if not _SENSITIVE.search(text, max(0, a - CONTEXT), a):
             continue
-        if novelty.rate(text[max(0, a - AROUND):a], value, text[b:b + AROUND]) >= NOVEL:
+        before, after = surroundings(text, a, b)
+        added, rate = novelty.added(before, m[0], after), NOVEL
+        if not _DIGIT.search(m[0]):
+            rate = NOVEL_LETTERS
+            if _WORDS.fullmatch(m[0]):
+                added = min(added, novelty.added(before, m[0].lower(), after))
+        if added >= max(LEAST_BYTES, rate * (b - a)):
             found.append((a, b, "novel"))
     return found
 
