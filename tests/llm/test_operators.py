@@ -246,25 +246,66 @@ def test_quality_and_toxicity_learn(spark, empty):
         assert fn(docs, known.where("false")).count() == len(rows)
 
 
-def test_fuzzy_lexicon_equals_edit_distance():
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
-    terms = ["scum", "idiot", "clown", "worthless", "disgusting"]
-    lexicon, rng = toxicity.FuzzyLexicon(terms), random.Random(4)
-    for _ in range(3000):
-        word = list(rng.choice(terms))
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_fuzzy_lexicon_equals_edit_distance(monkeypatch):
+    monkeypatch.setattr(toxicity, "STATES", 300)
+    terms = ["scum", "idiot", "clown", "worthless", "disgusting", "loath*", "despica*", "worthle*",
+             "moron"]
+    lexicon, rng = toxicity.FuzzyLexicon(terms, ["cloun"], ["moron"]), random.Random(4)
+    for _ in range(4000):
+        word = list(rng.choice([*terms, "loathing", "despicable", "morons"]).rstrip("*"))
         for _ in range(rng.randint(0, 3)):
             at = rng.randrange(len(word) + 1)
             word[at:at + rng.randint(0, 1)] = rng.choice([[], ["x"], ["o"], ["s"]])
-        word = "".join(word)
-        near = [(distance(word, t), t) for t in terms if distance(word, t) <= toxicity.edits(t)]
-        assert lexicon.match(word) == (min(near)[::-1] if near else None), word
+        word, near = "".join(word), []
+        for t in terms if word != "cloun" else []:
+            most = 0 if t == "moron" else toxicity.edits(t.rstrip("*"))
+            ends = range(len(word)) if t.endswith("*") else [len(word)]
+            e = min((distance(word[:k], t.rstrip("*")) for k in ends), default=99)
+            if e <= most:
+                near.append((e, t.endswith("*"), -len(t) if t.endswith("*") else 0, t))
+        assert sorted(lexicon.matches(word)) == sorted((n[0], n[3]) for n in near), word
+        assert lexicon.match(word) == ((min(near)[3], min(near)[0]) if near else None), word
+
+
+def test_lexicon_keeps_rare_and_short_terms_and_all_clean_near_words(spark):
+    learnt = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 5][:2000]
+    rows, labels = [], []
+    for at, i in enumerate(learnt):
+        bad = at % 4 == 0
+        text = prose(i, 30) + (" vermin" if bad and at % 8 else " table")
+        if bad and at < 20:
+            text += " git scoundrel"  # 5 of 500 toxic texts
+        if not bad:
+            text += f" vermi{at} scoundral scoundrol"
+        rows.append((i, text))
+        labels.append((i, int(bad)))
+    labels += labels[:50] + [(learnt[0], 1), (learnt[40], 0), (None, 1), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    terms, own, exact = toxicity.learn_lexicon(docs, known)
+    assert {"vermin", "git", "scoundrel"} <= set(terms)
+    assert {"scoundral", "scoundrol"} <= set(own) and "scoundrel" not in exact
+    assert "vermin" in exact  # vermi1, vermi2 and so on are seen once each and clean
+    assert ridge.one_label(known, "toxic").count() == len(learnt) - 1
+    assert toxicity.toxicity(docs, known).count() == len(rows)
+
+
+def test_terms_under_a_stem_take_its_weight_unless_more_toxic():
+    found = {"loath*": (100, 20, 3.0), "loathe*": (30, 6, 3.1), "loather": (9, 0, 5.0),
+             "loathing": (60, 0, 6.0), "clown": (50, 0, 7.0), "clown*": (55, 0, 7.1),
+             "silly*": (100, 400, 2.1), "sillyish": (60, 0, 6.0)}
+    assert toxicity._pruned(found) == {
+        "loath*": 3.0, "loather": 3.0, "loathing": 3.0, "clown": 7.0, "silly*": 2.1,
+        "sillyish": 6.0}
 
 
 def test_isotonic_rises(spark):

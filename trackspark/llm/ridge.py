@@ -126,15 +126,23 @@ def calibrate(rows: DataFrame, points: tuple[np.ndarray, np.ndarray], doc_id: st
         run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def one_label(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of each id that has one label, 0 or 1, and no other."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.min(label).cast("int").alias("y"), F.max(label).cast("int").alias("most"))
+    return known.where("y = most").select("doc_id", "y")
+
+
 def learned(features: DataFrame, labels: DataFrame, label: str, width: int,
             expand: Callable[[np.ndarray], np.ndarray], terms: int, penalty: float,
             threshold: float) -> DataFrame:
     """(doc_id, held_out, score, predicted) from features (doc_id, held_out, f) and labels.
 
-    Only rows that are not held out teach, in the fit and in the calibration.
+    Only rows that are not held out teach, in the fit and in the calibration. A label that repeats
+    counts once; an id whose labels contradict each other teaches nothing.
     """
-    known = labels.where(F.col(label).isin(0, 1)).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    known = one_label(labels, label)
     teach = features.where(~F.col("held_out")).join(known, "doc_id")
     weights = fit(teach, width, expand, terms, penalty)
     points = isotonic(score(teach, ["y"], width, expand, weights))
