@@ -166,6 +166,23 @@ def test_shards_are_gapless_and_move_little(spark, docs, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_equal_rows_are_numbered_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE", 7)
+    docs = spark.range(500).selectExpr("if(id < 400, 5, id) AS doc_id",
+                                       "if(id < 400, 'same', string(id % 3)) AS text")
+    got = sharding.shard(docs, shards=3)
+    rows = got.collect()
+    assert collections.Counter((r.doc_id, r.size) for r in rows) == collections.Counter(
+        (r.doc_id, len(r.text) + 1) for r in docs.collect())
+    for s in range(3):
+        slots = sorted(r.slot for r in rows if r.shard == s)
+        assert slots == list(range(len(slots)))
+    hot = sorted(r.slot for r in rows if r.doc_id == 5)
+    assert hot != list(range(hot[0], hot[0] + 400))  # its pieces lie in several parts
+    again = sharding.shard(docs.repartition(7), shards=3).collect()
+    assert collections.Counter(rows) == collections.Counter(again)
+
+
 def test_weights_of_shards(spark):
     ids = spark.range(20000).selectExpr("id as doc_id", "'' as text")
     n = {r.shard: r["count"] for r in sharding.shard(ids, weights=[1.0, 3.0]).groupBy(
