@@ -58,6 +58,17 @@ def test_next_tick_equals_brute_force(spark):
     assert got == want
 
 
+def test_next_tick_takes_many_rows_of_one_bucket(spark):
+    """A frame to the end of its partition is summed anew for each row: rows squared a bucket."""
+    n = 20_000
+    rows = spark.range(n).selectExpr("1 as match_id", "id", "60 * (id / 20000) as at")
+    marks = spark.range(1, 61).selectExpr("1 as match_id", "cast(id as double) as t")
+    found = next_tick(rows, marks, F.col("at"))
+    assert "unboundedfollowing" not in found._jdf.queryExecution().toString().lower()
+    got = found.agg(F.count("id"), F.count_if(F.ceil("at") == F.col("t"))).first()
+    assert tuple(got) == (n, n - 1)  # the row at 0 meets the tick at 1
+
+
 def test_snapshot_at_far_and_close_ticks_equals_brute_force(spark):
     rng = random.Random(8)
     data = [(1, rng.choice([13, 14]), rng.uniform(0, 200)) for _ in range(600)]

@@ -28,7 +28,8 @@ def next_tick(df: DataFrame, ticks: DataFrame, time: Column, width: float = 60.0
 
     ``ticks`` has (match_id, t, ...). Rows and ticks are merged in time order inside buckets of
     ``width``; a bucket without a later tick takes the first one of the buckets after it. A row
-    meets one tick, however far apart ticks lie.
+    meets one tick, however far apart ticks lie. The merge runs from late to early, so that every
+    frame grows row by row; one that ends with its partition is counted anew for each row.
     """
     tick = F.struct("t", *[c for c in ticks.columns if c not in ("match_id", "t")])
     rows = df.select("match_id", time.cast("double").alias("at"), F.lit(0).alias("is_tick"),
@@ -37,14 +38,15 @@ def next_tick(df: DataFrame, ticks: DataFrame, time: Column, width: float = 60.0
                          tick.alias("tick"))
     both = rows.unionByName(marks, allowMissingColumns=True).where(
         F.col("at").isNotNull()).withColumn("b", F.floor(F.col("at") / width))
-    later = Window.partitionBy("match_id").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy("match_id").orderBy(F.desc("b")).rowsBetween(
+        Window.unboundedPreceding, -1)
     firsts = both.groupBy("match_id", "b").agg(
         F.min_by("tick", F.when(F.col("is_tick") == 1, F.col("at"))).alias("first"))
-    firsts = firsts.select("match_id", "b", F.first("first", ignorenulls=True).over(later).alias(
+    firsts = firsts.select("match_id", "b", F.last("first", ignorenulls=True).over(later).alias(
         "after"))
-    own = Window.partitionBy("match_id", "b").orderBy("at", "is_tick").rowsBetween(
-        Window.currentRow, Window.unboundedFollowing)
-    found = both.withColumn("own", F.first("tick", ignorenulls=True).over(own)).where(
+    own = Window.partitionBy("match_id", "b").orderBy(F.desc("at"), F.desc("is_tick")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("own", F.last("tick", ignorenulls=True).over(own)).where(
         "is_tick = 0").join(firsts, ["match_id", "b"])
     return found.select("row", F.coalesce("own", "after").alias("tick")).where(
         F.col("tick").isNotNull()).select("row.*", "tick.*")
