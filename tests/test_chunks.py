@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from trackspark.config import MATCH_CHUNKED_SCHEMA
 from trackspark.operators import clean
 from trackspark.plans import fixtures
 from trackspark.sources import chunks
@@ -121,3 +122,16 @@ def test_reader_steps_over_gaps_and_splits_a_range_by_file(spark, chunked, tmp_p
     assert reader.partitions(at, at) == []
     resumed = ChunkFeedReader(chunked.select("match_id", "chunkId").schema, options)
     assert resumed.latestOffset() == at
+
+
+def test_the_feed_hands_on_a_large_file_in_pieces(spark, chunked, tmp_path):
+    path = str(tmp_path / "large")
+    rows = chunked.where("match_id = 1 and chunkId < 600").crossJoin(spark.range(400)).drop("id")
+    rows = rows.withColumn("chunkId", F.col("chunkId") % 60).coalesce(1)
+    chunks.write_indexed_chunks(rows, path)
+    reader = ChunkFeedReader(MATCH_CHUNKED_SCHEMA, {
+        "path": path, "index": chunks.INDEX, "chunks": "100", "position": str(tmp_path / "at")})
+    parts = reader.partitions({"chunk": 9}, {"chunk": 40})
+    sizes = [b.num_rows for part in parts for b in reader.read(part)]
+    assert sum(sizes) == rows.where("chunkId between 10 and 40").count()
+    assert len(parts) < len(sizes) and max(sizes) <= 10_000

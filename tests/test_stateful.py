@@ -1,8 +1,11 @@
 """State by match and sensor: equal to the batch operators, over stops, and gone at the end."""
 
+import gc
 import random
 import time
+import weakref
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +125,77 @@ def test_rows_of_closed_windows_and_older_samples_change_nothing(spark, tmp_path
     want = running.running_stats(batch(spark, 1, 100, 119)).agg(F.sum("ping_count")).first()[0]
     assert open_ == want
     assert tables["positions"].agg(F.min("matchSecond")).first()[0] >= 300
+
+
+class Held:
+    """Value and map states, and the clock, of one key."""
+
+    def __init__(self):
+        self.map = {}
+
+    def getValueState(self, *_):
+        return Held()
+
+    getMapState = getValueState
+
+    def getCurrentProcessingTimeInMs(self):
+        return 0
+
+    def registerTimer(self, at):
+        pass
+
+    def exists(self):
+        return None in self.map
+
+    def get(self):
+        return self.map[None]
+
+    def update(self, value):
+        self.map[None] = value
+
+    def containsKey(self, key):
+        return key in self.map
+
+    def getValue(self, key):
+        return self.map[key]
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def keys(self):
+        return list(self.map)
+
+    def removeKey(self, key):
+        del self.map[key]
+
+
+def test_a_sensor_holds_one_frame_of_a_trigger_at_a_time():
+    rng, alive, most = random.Random(1), [], []
+    full = pd.DataFrame([
+        {"match_id": 1, "sid": 7, "ts": rng.randrange(500), "x": float(i), "y": 0.0, "z": 0.0,
+         "half": 1, "matchSecond": i / 10, "speed_kmh": 3.0, "tie": i, "grid_row": i % 3,
+         "grid_col": 1 if i % 5 else None, "intensity": rng.choice(["low", "high", None]),
+         "metres": 0.5, "window_start_s": i // 600 * 60} for i in range(2000)])
+
+    def frames():
+        for at in range(0, len(full), 100):
+            frame = full[at:at + 100].reset_index(drop=True)
+            alive.append(weakref.ref(frame))
+            yield frame
+            del frame
+            gc.collect()
+            most.append(sum(r() is not None for r in alive))
+
+    sensor = stateful.LiveSensor(60.0, 120, 0.1, 7200.0)
+    sensor.init(Held())
+    out = pd.concat(sensor.handleInputRows((1, 7), frames(), Held()))
+    assert max(most) <= 2  # the last one may still be bound
+    first = full.sort_values(["ts", "tie"]).iloc[-1]
+    assert out[out.kind == "positions"][["ts", "x"]].values.tolist() == [[first.ts, first.x]]
+    heat = out[out.kind == "heatmap"]
+    assert dict(zip(zip(heat.grid_row, heat.grid_col), heat.n)) == dict(
+        full.groupby(["grid_row", "grid_col"]).size())
+    stats = out[out.kind == "stats"]
+    assert dict(zip(zip(stats.intensity, stats.window_start_s), stats.ping_count)) == dict(
+        full.groupby(["intensity", "window_start_s"]).size())
+    assert stats.distance_1m.sum() == full[full.intensity.notna()].metres.sum()

@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 # the reader travels with the query, so executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows handed on at a time, and bytes of a column read at a time.
+BATCH_ROWS, BUFFER_BYTES = 1 << 13, 1 << 18
+
 
 @dataclass
 class _Part(InputPartition):
@@ -121,15 +124,31 @@ class ChunkFeedReader(DataSourceStreamReader):
         return parts
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
-        import pyarrow.dataset as ds
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
 
         store, path = _store(partition.file)
-        data = ds.dataset(path, filesystem=store, format="parquet")
-        chunk = ds.field("chunkId")
         wanted = [c for c in self.arrow.names if c != "match_id"]
-        for batch in data.to_batches(wanted, filter=(chunk > partition.after)
-                                     & (chunk <= partition.upto)):
-            columns = {c: batch.column(c) for c in wanted}
-            columns["match_id"] = pa.array([partition.match_id] * batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [columns[f.name].cast(f.type) for f in self.arrow], schema=self.arrow)
+        # pages are read as they are needed: a scan of a dataset decodes whole row groups ahead
+        with store.open_input_file(path) as source, pq.ParquetFile(
+                source, buffer_size=BUFFER_BYTES) as data:
+            groups = [g for g in range(data.num_row_groups)
+                      if _may_hold(data.metadata.row_group(g), partition)]
+            for batch in data.iter_batches(BATCH_ROWS, groups, wanted, use_threads=False):
+                chunk = batch.column("chunkId")
+                batch = batch.filter(pc.and_(pc.greater(chunk, partition.after),
+                                             pc.less_equal(chunk, partition.upto)))
+                columns = {c: batch.column(c) for c in wanted}
+                columns["match_id"] = pa.array([partition.match_id] * batch.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [columns[f.name].cast(f.type) for f in self.arrow], schema=self.arrow)
+
+
+def _may_hold(group, part: _Part) -> bool:
+    """Whether a row group can hold chunks of the part, by its statistics."""
+    for i in range(group.num_columns):
+        column = group.column(i)
+        if column.path_in_schema == "chunkId" and column.is_stats_set:
+            found = column.statistics
+            return not found.has_min_max or found.min <= part.upto and found.max > part.after
+    return True
